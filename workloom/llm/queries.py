@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workloom.llm import mixture, pairs, termfreq, tokens
+from workloom.llm import encodings, mixture, pairs, termfreq, tokens
 from workloom.runtime import table
 
 PAIR_MIN_COUNT = 5
@@ -29,6 +29,23 @@ def p1_pmi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _skill_pairs(spark, sf_dir).select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"), "n_ab", "n_a", "n_b", F.round("lift", 6).alias("lift"), F.round("pmi", 6).alias("pmi"))
 
 
+def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repaired job titles and cities; the pools are the months of the files and the provinces."""
+    titles = table(spark, sf_dir, "job_bank_csv").select(F.col("row_id").alias("record_id"), F.lit("job_bank_csv").alias("field"), F.col("year_month").alias("source"), F.col("job_title").alias("value"))
+    cities = table(spark, sf_dir, "job_postings").select(F.col("id").cast("long").alias("record_id"), F.lit("job_postings").alias("field"), F.col("province").alias("source"), F.col("city").alias("value"))
+    return encodings.repair(titles.unionByName(cities))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose job title or city was damaged by a wrong encoding."""
+    return _garbled(spark, sf_dir).select(F.col("field").alias("table_name"), "record_id")
+
+
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged records with their restored text."""
+    return _garbled(spark, sf_dir).select(F.col("field").alias("table_name"), "record_id", "original", "restored", "chain", F.round("probability", 4).alias("probability"), "status")
+
+
 def _skill_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return termfreq.term_frequencies(table(spark, sf_dir, "fact_job_skill_demand"), "job_id", "skill_id", table(spark, sf_dir, "dim_skills"), "id", "name")
 
@@ -89,7 +106,7 @@ marked AS (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pmi, p6_found, p6_frequencies, p8_ids, p9_mixture, p9_shares)}
+    return {f.__name__: f for f in (p1_found, p1_pmi, p3_found, p3_repaired, p6_found, p6_frequencies, p8_ids, p9_mixture, p9_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
