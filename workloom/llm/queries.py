@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workloom.llm import encodings, mixture, pairs, termfreq, tokens
+from workloom.llm import encodings, mixture, names, pairs, termfreq, titles, tokens
 from workloom.runtime import table
 
 PAIR_MIN_COUNT = 5
@@ -60,6 +60,31 @@ def p6_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _skill_terms(spark, sf_dir).select("term", "occurrences", "records", "mark")
 
 
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return titles.map_titles(table(spark, sf_dir, "fact_job_postings"), table(spark, sf_dir, "noc_titles"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entry of noc_titles that each posting's title stands for."""
+    return _titles(spark, sf_dir).where("status = 'matched'").select("job_id", F.col("entry_id").cast("int").alias("noc_id"))
+
+
+def p5_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that stand for no single entry, with the number of their postings."""
+    return _titles(spark, sf_dir).where("status <> 'matched'").groupBy("raw_title", "status").agg(F.count(F.lit(1)).alias("n_postings"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of companies that are one organisation."""
+    linked = names.link_names(table(spark, sf_dir, "dim_companies"))
+    return names.linked_pairs(linked, "id_a", "id_b").select(F.col("id_a").cast("int").alias("id_a"), F.col("id_b").cast("int").alias("id_b"))
+
+
+def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The companies with more than one spelling, by organisation."""
+    return names.link_names(table(spark, sf_dir, "dim_companies"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as ids of byte_bpe_50k."""
     return tokens.encode_corpus(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -106,7 +131,7 @@ marked AS (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pmi, p3_found, p3_repaired, p6_found, p6_frequencies, p8_ids, p9_mixture, p9_shares)}
+    return {f.__name__: f for f in (p1_found, p1_pmi, p3_found, p3_repaired, p5_found, p5_unmatched, p6_found, p6_frequencies, p7_found, p7_entities, p8_ids, p9_mixture, p9_shares)}
 
 
 def oracle_sql() -> dict[str, str]:
