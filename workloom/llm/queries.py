@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from workloom.llm import encodings, mixture, names, pairs, termfreq, titles, tokens
+from workloom.llm import encodings, mixture, names, pairs, subjects, termfreq, titles, tokens
 from workloom.runtime import table
 
 PAIR_MIN_COUNT = 5
@@ -105,6 +105,23 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir)[1]
 
 
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.assign_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subject areas of the invention of each document."""
+    return _subjects(spark, sf_dir).select("doc_id", "subject")
+
+
+def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and share of the corpus by subject; a document with several subjects counts for each in part."""
+    each = _subjects(spark, sf_dir)
+    parts = each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    whole = each.join(parts, "doc_id").groupBy("subject").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(1 / F.col("n")).alias("weight"))
+    return whole.crossJoin(F.broadcast(whole.agg(F.sum("weight").alias("all_weight")))).select("subject", "n_documents", F.round(F.col("weight") / F.col("all_weight"), 6).alias("corpus_share"))
+
+
 _PAIRS_SQL = """
 WITH rows AS (SELECT DISTINCT job_id, skill_id FROM fact_job_skill_demand WHERE skill_id IN (SELECT id FROM dim_skills)),
 single AS (SELECT skill_id, count(*) AS n FROM rows GROUP BY skill_id),
@@ -131,7 +148,7 @@ marked AS (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pmi, p3_found, p3_repaired, p5_found, p5_unmatched, p6_found, p6_frequencies, p7_found, p7_entities, p8_ids, p9_mixture, p9_shares)}
+    return {f.__name__: f for f in (p1_found, p1_pmi, p3_found, p3_repaired, p5_found, p5_unmatched, p6_found, p6_frequencies, p7_found, p7_entities, p8_ids, p9_mixture, p9_shares, p10_found, p10_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
