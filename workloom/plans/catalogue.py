@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from workloom.plans import data_quality
+from workloom.plans import data_quality, reference
 
-_PARTS = (data_quality,)
+_PARTS = (reference, data_quality)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
