@@ -64,9 +64,12 @@ def mix(documents: DataFrame, targets: DataFrame, ident: str = "doc_id", source:
     plan = plan.withColumn("whole_passes", F.when(F.col("held") > 0, F.floor(F.col("budget") / F.col("held"))).otherwise(0).cast("int"))
     plan = small_side(cut(plan.withColumn("rest", F.col("budget") - F.col("whole_passes") * F.col("held"))))
 
-    binned = by_bin.join(plan.select("source", "rest", "whole_passes"), "source")
-    state = F.when(F.col("before") + F.col("bin_tokens") <= F.col("rest"), "all").when(F.col("before") < F.col("rest"), "part").otherwise("none")
-    placed = docs.join(small_side(binned.select("source", "bin", "before", "rest", "whole_passes", state.alias("state"))), ["source", "bin"])
+    # one row per source: the bin in which its rest ends, all bins if the whole source fits
+    ends = by_bin.join(plan.select("source", "rest"), "source").where(F.col("before") + F.col("bin_tokens") > F.col("rest"))
+    ends = ends.groupBy("source").agg(F.min("bin").alias("end"), F.min_by("before", "bin").alias("before"))
+    cuts = small_side(cut(plan.select("source", "rest", "whole_passes").join(ends, "source", "left")))
+    state = F.when(F.col("bin") == F.col("end"), "part").when(F.col("bin") > F.col("end"), "none").otherwise("all")
+    placed = docs.join(cuts, "source").withColumn("state", state)
     order = W.partitionBy("source").orderBy("key", "ident").rowsBetween(W.unboundedPreceding, 0)
     whole = placed.where("state <> 'part'").withColumn("extra", (F.col("state") == "all").cast("int"))
     part = placed.where("state = 'part'").withColumn("extra", (F.col("before") + F.sum("n_tokens").over(order) <= F.col("rest")).cast("int"))
