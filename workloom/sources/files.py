@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from workloom.functions import scalars as S
+from workloom.runtime import cut
 
 #: Columns that a raw monthly file must have.
 REQUIRED = ("Job Title", "NOC21 Code", "NOC21 Code Name", "Vacancy Count", "First Posting Date", "Salary Minimum", "Salary Maximum", "Salary Per", "Province/Territory", "City", "NOC 2016 Code", "NOC 2016 Code Name")
@@ -109,4 +110,5 @@ def read_checkpoints(spark: SparkSession, path: str, schema: T.StructType) -> tu
     """(rows, corrupt) of JSON checkpoint files: rows with their file, and the files that can't be read."""
     wide = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
     read = spark.read.schema(wide).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt").withColumn("file", F.input_file_name())
+    read = cut(read)  # Spark doesn't let a query use the corrupt column of the files alone
     return read.where("_corrupt is null").drop("_corrupt"), read.where("_corrupt is not null").select("file").distinct()
