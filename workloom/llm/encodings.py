@@ -38,7 +38,8 @@ POOLS = 256
 WORD_BINS = 1 << 18
 ROUNDS = 4
 _SMOOTH = 3.0
-_MOST_WORD = 64
+#: Longer words are scored anew each time.
+_KEPT_WORD = 64
 #: Part of the occurrences of a text that doesn't count as evidence for the text itself.
 _OWN = 0.9
 
@@ -92,7 +93,7 @@ def _is_wide(chain: int) -> bool:
 def _classes(word: str) -> list[str]:
     """The characters of a word as the model sees them: without case, but with a mark where case jumps up."""
     out, small = ["^"], False
-    for ch in word[:_MOST_WORD] if len(word) > _MOST_WORD else word:
+    for ch in word:
         n, low = ord(ch), ch.lower()
         if n < 128:
             c = "0" if ch.isdigit() else low
@@ -134,9 +135,10 @@ class TextModel:
         spelt = self.known.get(word)
         if spelt is None:
             spelt = self._spelt(word)
-            if len(self.known) > 300_000:
-                self.known.clear()
-            self.known[word] = spelt
+            if len(word) <= _KEPT_WORD:
+                if len(self.known) > 300_000:
+                    self.known.clear()
+                self.known[word] = spelt
         seen = 0.0 if word.isascii() else self.words.get(word_bin(word), 0.0) - _OWN * without
         if seen < 0.5:
             return spelt
@@ -293,7 +295,7 @@ def _split_words(values: DataFrame, text: str) -> DataFrame:
 def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """record_id, field, original, restored, chain, probability, status for the damaged ones of records (record_id, field, source, value).
 
-    status is restored, or lost where letters can't be had back (restored then has what could be). chain names
+    status is restored, or lost where letters can't be had back or a whole word is a guess (restored then has what could be). chain names
     the encodings, letters that were lost have the chain lost. Null and empty values are never damaged. Pools
     are field and source, the sources hashed to at most POOLS a field. Repeated record ids give repeated rows.
     """
@@ -333,7 +335,7 @@ def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     closing = F.col("last") & (F.col("word") == "?")
     lost = hurt & (F.col("word").rlike(r"\x{FFFD}|\?\p{L}") | (F.col("known").isNotNull() & ~closing))
     known = F.when(F.col("word") == F.upper("word"), F.upper("known")).otherwise(F.col("known"))
-    settled = found.select("pool", "value", "at", lost.alias("lost"), (lost & F.col("known").isNull()).alias("gone"), F.when(lost, F.coalesce(known, "word")).otherwise(F.col("word")).alias("word"))
+    settled = found.select("pool", "value", "at", lost.alias("lost"), (lost & (F.col("known").isNull() | (F.col("key") == "?"))).alias("gone"), F.when(lost, F.coalesce(known, "word")).otherwise(F.col("word")).alias("word"))
     mended = settled.groupBy("pool", "value").agg(F.max("lost").alias("lost"), F.max("gone").alias("gone"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ").alias("mended"))
 
     damaged = (

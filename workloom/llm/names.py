@@ -71,7 +71,7 @@ def edits(a: str, b: str, most: int) -> int:
         before, row = row, nxt
         if min(row) > most:
             return most + 1
-    return row[-1]
+    return min(row[-1], most + 1)
 
 
 def edits_allowed(n: int) -> int:
@@ -244,7 +244,7 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataF
     close = near.where((F.col("other_n") >= frequent) & (F.col("n") * 3 < F.col("other_n"))).select("token", F.rtrim("other", F.lit(".")).alias("word"), F.col("other_n").alias("weight"), F.levenshtein(F.rtrim("token", F.lit(".")), F.rtrim("other", F.lit("."))).alias("d"))
     close = close.where((F.col("d") <= 2) & ~F.endswith("token", F.lit(".")))
     short = counted.withColumn("bare", F.rtrim("token", F.lit("."))).where("length(bare) between 2 and 7").where(~F.col("bare").isin(sorted(_FULL_NAMES)))
-    shortened = short.join(lines, (F.substring("bare", 1, 1) == F.substring("word", 1, 1)) & (F.length("bare") < F.length("word")) & (shortform | (short["n"] * 3 < lines["n"])) & F.regexp_like("word", F.concat(F.lit("^"), F.regexp_replace("bare", "(.)", "$1.*"))))
+    shortened = short.join(lines, (F.substring("bare", 1, 1) == F.substring("word", 1, 1)) & (F.length("bare") < F.length("word")) & (shortform | (short["n"] * 3 < lines["n"]) | (F.col("bare").rlike("^.[^aeiou]+$") & (short["n"] < lines["n"]))) & F.regexp_like("word", F.concat(F.lit("^"), F.regexp_replace("bare", "(.)", "$1.*"))))
     shortened = shortened.select("token", "word", lines["n"].alias("weight"), F.lit(3).alias("d"))
     read = close.unionByName(shortened).groupBy("token").agg(F.max_by("word", F.struct(-F.col("d"), "weight", "word")).alias("frame"))
     itself = counted.where((F.col("n") >= frequent) & ~shortform).select("token", F.col("token").alias("frame"))
@@ -253,7 +253,8 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataF
     tokens = distinct.select("first", F.explode("tokens").alias("token")).join(small_side(frames), "token", "left")
     bare = F.rtrim("token", F.lit("."))
     part = tokens.withColumn("personal", bare.isin(sorted(_FULL_NAMES)) | (F.length(bare) == 1))
-    frame = part.groupBy("first").agg(F.array_join(F.array_sort(F.collect_list(F.when(~F.col("personal"), F.col("frame")))), " ").alias("frame"), F.count(F.when(~F.col("personal") & F.col("frame").isNull(), 1)).alias("n_rare"))
+    frame = part.groupBy("first").agg(F.array_join(F.array_sort(F.collect_list(F.when(~F.col("personal"), F.col("frame")))), " ").alias("frame"), F.count(F.when(~F.col("personal") & F.col("frame").isNull(), 1)).alias("n_rare"), F.count(F.lit(1)).alias("n_tokens"))
+    frame = frame.withColumn("frame", F.concat_ws(" ", "frame", F.col("n_tokens").cast("string")))  # only names of as many tokens can be aligned
     keyed = cut(part.where("not personal and frame is null").select("first", "token").join(frame, "first").select("first", "token", F.col("frame").alias("within")))
     framed = cut(keyed.unionByName(frame.where("n_rare = 0").select("first", F.lit("").alias("token"), F.col("frame").alias("within"))))
 
