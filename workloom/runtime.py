@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a side of a join may be broadcast.
 BROADCAST_ROWS = 200_000
+#: Bytes of them, as JSON, up to which it may be.
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(name: str = "workloom", cores: str = "8", **conf: str) -> SparkSession:
@@ -35,13 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it is proven to have at most max_rows rows, else df as it is.
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if it is proven to have at most max_rows rows of max_bytes in all, else df as it is.
 
-    The proof is a count that stops after max_rows + 1 rows. Without the hint Spark joins by
-    shuffle, so the result is the same for a side of any size.
+    The proof reads max_rows + 1 rows at most. Without the hint Spark joins by shuffle, so the result is the
+    same for a side of any size.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    rows, held = df.limit(max_rows + 1).select(size.alias("size")).agg(F.count(F.lit(1)), F.sum("size")).first()
+    return F.broadcast(df) if rows <= max_rows and (held or 0) <= max_bytes else df
 
 
 def shared_dir(spark: SparkSession) -> str:
