@@ -18,3 +18,16 @@ def test_cut(spark):
     got = cut(df)
     assert got.schema["x"].dataType == df.schema["x"].dataType and sorted(r.x for r in got.collect()) == [0, 1, 2, 3, 4]
     assert "Range" not in got._jdf.queryExecution().logical().toString()
+
+
+def test_ranks(spark):
+    from workloom.runtime import ranked, ranked_within
+
+    rows = [(k * 7 % 101, "hot" if k % 3 else (str(k % 5) if k % 2 else None)) for k in range(101)]
+    df = spark.createDataFrame([*rows], "x int, g string")
+    assert {r.x: r.rank for r in ranked(df, "x").collect()} == {k: k + 1 for k in range(101)}
+    got = {r.x: (r.rank, r.size) for r in ranked_within(df, ("g",), ("x",)).collect()}
+    for g in {g for _, g in rows}:
+        own = sorted(x for x, h in rows if h == g)
+        assert [got[x] for x in own] == [(k, len(own)) for k in range(1, len(own) + 1)]
+    assert ranked(df.limit(0), "x").isEmpty()

@@ -9,11 +9,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from workloom.functions import scalars as S
-from workloom.runtime import cut
+from workloom.runtime import cut, ranked, ranked_within
 
 
 @dataclass(frozen=True)
@@ -31,19 +30,17 @@ MATCHED_REST, UNMATCHED_REST = ("noc", "company", "ord"), ("company", "ord")
 def pack(df: DataFrame, stages: tuple[Stage, ...], rest_order: tuple[str, ...], size: int) -> DataFrame:
     """df (company, noc, ord, id) with kind, group_no and chunk: the batch of each row.
 
-    The rest goes through one ordered window; before it come the full chunks, so it holds fewer than size rows
-    of each last group.
+    Groups are numbered by ranges of their order, so that no task holds a hot company or the whole rest.
     """
     left, done = df.withColumns({"company": F.coalesce("company", F.lit("")), "noc": F.coalesce("noc", F.lit(0))}), None
     for stage in stages:
-        own = W.partitionBy(*stage.group)
-        chunk = F.floor((F.row_number().over(own.orderBy(*stage.order)) - 1) / size).cast("int")
-        numbered = left.withColumn("chunk", chunk).withColumn("full", (F.col("chunk") + 1) * size <= F.count(F.lit(1)).over(own))
-        numbered = cut(numbered)
+        within = ranked_within(left, stage.group, stage.order)
+        chunk = F.floor((F.col("rank") - 1) / size).cast("int")
+        numbered = cut(within.withColumn("chunk", chunk).withColumn("full", (F.col("chunk") + 1) * size <= F.col("size")).drop("rank", "size"))
         emitted = numbered.where("full").withColumn("kind", F.lit(stage.kind)).drop("full")
         done = emitted if done is None else done.unionByName(emitted)
         left = numbered.where("not full").drop("full", "chunk")
-    rest = left.withColumn("chunk", F.floor((F.row_number().over(W.orderBy(*rest_order)) - 1) / size).cast("int")).withColumn("kind", F.lit("rem"))
+    rest = ranked(left, *rest_order).withColumn("chunk", F.floor((F.col("rank") - 1) / size).cast("int")).withColumn("kind", F.lit("rem")).drop("rank")
     return done.unionByName(rest)
 
 
@@ -85,16 +82,8 @@ def capacity(n_calls: Column, per_session: int = 800, delay_s: int = 5, call_s:
 
 
 def sessions(made: DataFrame, per_session: int) -> DataFrame:
-    """made with session_no: consecutive groups of per_session batches in the order of their ids.
-
-    Batches are counted by ranges of their ids, so that no window holds them all.
-    """
-    ranged = cut(made.repartitionByRange("batch_id").withColumn("part", F.spark_partition_id()))
-    counts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))  # one row per partition
-    rank = F.row_number().over(W.partitionBy("part").orderBy("batch_id"))
-    placed = ranged.join(F.broadcast(before), "part").withColumn("rank", rank + F.col("before"))
-    return placed.withColumn("session_no", F.floor((F.col("rank") - 1) / per_session).cast("int")).drop("part", "before", "rank")
+    """made with session_no: consecutive groups of per_session batches in the order of their ids."""
+    return ranked(made, "batch_id").withColumn("session_no", F.floor((F.col("rank") - 1) / per_session).cast("int")).drop("rank")
 
 
 def undone(made: DataFrame, done: DataFrame) -> DataFrame:

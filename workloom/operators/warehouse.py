@@ -7,16 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from workloom.functions import scalars as S
-from workloom.runtime import cut, small_side
+from workloom.runtime import ranked, small_side
 
 
 def numbered(names: DataFrame, key: str, start: int = 0) -> DataFrame:
     """id and the columns of names, numbered from start + 1 in the order of key, without one window over all rows."""
-    ranged = cut(names.repartitionByRange(key).withColumn("_part", F.spark_partition_id()))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(W.orderBy("_part")) - F.col("_n")).alias("_before"))  # one row per partition
-    rank = F.row_number().over(W.partitionBy("_part").orderBy(key))
-    return ranged.join(F.broadcast(before), "_part").select((rank + F.col("_before") + start).cast("int").alias("id"), *names.columns)
+    return ranked(names, key).select((F.col("rank") + start).cast("int").alias("id"), *names.columns)
 
 
 def dim_seniority(spark: SparkSession) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Rows up to which a side of a join may be broadcast.
@@ -74,6 +76,27 @@ def cut(df: DataFrame, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, *order: str, rank: str = "rank") -> DataFrame:
+    """df with its row numbers from 1 in the order of the columns, which must be a total one.
+
+    Rows are dealt to ranges of the order and numbered within each; no task holds more than its range.
+    """
+    ranged = cut(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_range", (F.sum("_n").over(W.orderBy("_range")) - F.col("_n")).alias("_before"))  # one row per range
+    own = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return ranged.join(F.broadcast(before), "_range").withColumn(rank, own + F.col("_before")).drop("_range", "_before")
+
+
+def ranked_within(df: DataFrame, group: tuple[str, ...], order: tuple[str, ...], rank: str = "rank", size: str = "size") -> DataFrame:
+    """df with row numbers from 1 within each group, and the size of the group; hot groups are split like others."""
+    numbered = ranked(df, *group, *order, rank="_at")
+    groups = numbered.groupBy(*(F.col(g).alias(f"_g_{g}") for g in group)).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias(size))
+    same = reduce(lambda x, y: x & y, (numbered[g].eqNullSafe(F.col(f"_g_{g}")) for g in group))
+    joined = numbered.join(small_side(cut(groups)), same)
+    return joined.withColumn(rank, F.col("_at") - F.col("_first") + 1).drop("_at", "_first", *(f"_g_{g}" for g in group))
+
+
 def _forget(spark: SparkSession, path: str) -> None:
     def delete() -> None:
         try:
