@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from workloom.llm import pairs, termfreq
+from workloom.llm import pairs, queries, termfreq
 
 
 def brute(rows, vocabulary=None):
@@ -51,6 +51,20 @@ def test_pairs_vocabulary_and_empty(spark):
     assert pairs.cooccurrence(df.limit(0), "job", "skill").isEmpty() and pairs.cooccurrence(df, "job", "skill", vocabulary.limit(0), "id").isEmpty()
 
 
+def test_pair_queries(spark, tmp_path):
+    rows = data(4)
+    df, known = spark.createDataFrame(rows, "job_id bigint, skill_id int"), set(range(2, 50))
+    df.write.parquet(f"{tmp_path}/fact_job_skill_demand.parquet")
+    spark.createDataFrame([(k,) for k in known], "id int").write.parquet(f"{tmp_path}/dim_skills.parquet")
+    want = brute(rows, known)
+    got = queries.p1_pmi(spark, str(tmp_path)).collect()
+    assert {(r.skill_a, r.skill_b): (r.n_ab, r.n_a, r.n_b) for r in got} == {k: v[:3] for k, v in want.items()}
+    assert len(got) == len(want) and {1, 2, 3, 4} <= {r.n_ab for r in got}
+    assert all(r.lift == pytest.approx(v[0] * v[3] / (v[1] * v[2]), abs=1e-6) and r.pmi == pytest.approx(math.log2(v[0] * v[3] / (v[1] * v[2])), abs=1e-6) for r in got for v in [want[r.skill_a, r.skill_b]])
+    found = {tuple(r) for r in queries.p1_found(spark, str(tmp_path)).collect()}
+    assert found == {k for k, (n, a, b, all_) in want.items() if n >= 5 and n * all_ >= 4 * a * b}
+
+
 def test_bitmaps():
     rng = np.random.default_rng(1)
     for size in (0, 1, 5000, 70000):

@@ -14,18 +14,18 @@ PAIR_MIN_COUNT = 5
 PAIR_MIN_LIFT = 4
 
 
-def _skill_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.cooccurrence(table(spark, sf_dir, "fact_job_skill_demand"), "job_id", "skill_id", table(spark, sf_dir, "dim_skills"), "id", min_count=PAIR_MIN_COUNT)
+def _skill_pairs(spark: SparkSession, sf_dir: str, min_count: int = 1) -> DataFrame:
+    return pairs.cooccurrence(table(spark, sf_dir, "fact_job_skill_demand"), "job_id", "skill_id", table(spark, sf_dir, "dim_skills"), "id", min_count=min_count)
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Skills asked for together at least four times as often as by chance."""
+    """Skills asked for together in at least five postings and at least four times as often as by chance."""
     strong = F.col("n_ab") * F.col("n_baskets") >= PAIR_MIN_LIFT * F.col("n_a") * F.col("n_b")
-    return _skill_pairs(spark, sf_dir).where(strong).select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"))
+    return _skill_pairs(spark, sf_dir, PAIR_MIN_COUNT).where(strong).select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"))
 
 
 def p1_pmi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts, lift and PMI of every pair of skills in at least five postings."""
+    """Counts, lift and PMI of every pair of skills that any posting asks for together."""
     return _skill_pairs(spark, sf_dir).select(F.col("item_a").alias("skill_a"), F.col("item_b").alias("skill_b"), "n_ab", "n_a", "n_b", F.round("lift", 6).alias("lift"), F.round("pmi", 6).alias("pmi"))
 
 
