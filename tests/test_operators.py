@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from workloom.operators import enrich, matching, packing, postings, quality, skills, warehouse
+from workloom.plans import catalogue
 from workloom.sources import files
 from workloom.streaming import ingest
 
@@ -133,6 +134,17 @@ def test_skills(spark):
     assert sorted(map(tuple, skills.normalise_skills(both).collect())) == [(1, "test", "tool"), (2, "test", "tool")]
 
 
+def test_multi_category(spark, tmp_path):
+    votes = {"even": (6, 5), "one": (90, 0), "p": (10, 1), "q": (9, 1), "r": (8, 1), "s": (7, 1), "t": (7, 1)}
+    named = [(2 * k + c, skill if c else skill.upper(), "xy"[c]) for k, skill in enumerate(votes) for c in (0, 1)]
+    rows = [(job, i) for i, skill, c in named for job in range(votes[skill.lower()]["xy".index(c)])]
+    spark.createDataFrame(named, "id int, name string, category string").write.parquet(f"{tmp_path}/dim_skills.parquet")
+    spark.createDataFrame(rows, "job_id bigint, skill_id int").write.parquet(f"{tmp_path}/fact_job_skill_demand.parquet")
+    got = catalogue.queries()["multi_category"](spark, str(tmp_path)).collect()
+    assert [tuple(r) for r in got] == [("even", "x", 6, 2), ("p", "x", 10, 2), ("q", "x", 9, 2), ("r", "x", 8, 2), ("s", "x", 7, 2)]
+    assert catalogue.queries()["majority_vote"](spark, str(tmp_path)).columns == ["skill", "category", "votes", "n_categories"]
+
+
 def test_warehouse(spark):
     names = warehouse.dim_of(spark.createDataFrame([("b",), ("a",), ("a",), (None,), ("nan",), ("é",)], "n string"), "n")
     assert sorted(map(tuple, names.collect())) == [(1, "a"), (2, "b"), (3, "é")]

@@ -17,11 +17,11 @@ def explode_skills(df: DataFrame, job: str = "job_id", skills: str = "skills") -
 
 
 def majority_category(rows: DataFrame, skill: str = "skill", category: str = "category", ordinal: str = "ordinal") -> DataFrame:
-    """skill, category, votes, n_categories: the category of most rows, the one seen first at ties."""
+    """skill, category, votes, n_categories, total_votes: the category of most rows, the one seen first at ties; total_votes are those of all categories."""
     votes = rows.groupBy(F.col(skill).alias("skill"), F.col(category).alias("category")).agg(F.count(F.lit(1)).alias("votes"), F.min(ordinal).alias("first"))
     best = F.max_by(F.struct("category", "votes"), F.struct(F.col("votes"), -F.col("first")))
-    found = votes.groupBy("skill").agg(best.alias("best"), F.count(F.lit(1)).alias("n_categories"))
-    return found.select("skill", F.col("best.category").alias("category"), F.col("best.votes").alias("votes"), "n_categories")
+    found = votes.groupBy("skill").agg(best.alias("best"), F.count(F.lit(1)).alias("n_categories"), F.sum("votes").alias("total_votes"))
+    return found.select("skill", F.col("best.category").alias("category"), F.col("best.votes").alias("votes"), "n_categories", "total_votes")
 
 
 def singular_names(rows: DataFrame, skill: str = "skill") -> DataFrame:
