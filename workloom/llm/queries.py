@@ -105,8 +105,8 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mixture(spark, sf_dir)[1]
 
 
-def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return subjects.assign_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"))
+def _subjects(spark: SparkSession, sf_dir: str, unassigned: bool = False) -> DataFrame:
+    return subjects.assign_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels"), unassigned=unassigned)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,10 +115,15 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents and share of the corpus by subject; a document with several subjects counts for each in part."""
-    each = _subjects(spark, sf_dir)
+    """Documents and share of the corpus by subject; a document with several subjects counts for each in part.
+
+    The shares are of the documents with a subject. Those with known terms but no subject are the row without
+    subject and share, if there are any.
+    """
+    each = _subjects(spark, sf_dir, unassigned=True)
     parts = each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    whole = each.join(parts, "doc_id").groupBy("subject").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(1 / F.col("n")).alias("weight"))
+    assigned = F.col("subject").isNotNull()
+    whole = each.join(parts, "doc_id").groupBy("subject").agg(F.count(F.lit(1)).alias("n_documents"), F.sum(F.when(assigned, 1 / F.col("n"))).alias("weight"))
     return whole.crossJoin(F.broadcast(whole.agg(F.sum("weight").alias("all_weight")))).select("subject", "n_documents", F.round(F.col("weight") / F.col("all_weight"), 6).alias("corpus_share"))
 
 
