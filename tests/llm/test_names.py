@@ -77,3 +77,10 @@ def test_planted_spellings(spark):
     want = {(a, b) for a in entity for b in entity if a < b and entity[a] == entity[b]}
     assert len(pairs & want) >= 0.95 * len(want) and len(pairs & want) >= 0.95 * len(pairs)
     assert names.link_names(df.limit(0)).isEmpty()
+
+
+def test_single_names_are_entities(spark):
+    rows = [(3, "Bokanu Roofing Inc."), (4, "Roofing Bokanu Ltd."), (5, "BOKANU ROOFING"), (6, "Vexhal Freight"), (7, None), (8, ""), (None, "Vexhal Freight")]
+    linked = names.link_names(spark.createDataFrame(rows, "id int, name string"))
+    assert sorted(map(tuple, linked.collect())) == [(3, 3, 2), (4, 3, 2), (5, 3, 2), (6, 6, 0), (7, 7, 0), (8, 8, 0)]
+    assert {tuple(r) for r in names.linked_pairs(linked, "a", "b").collect()} == {(3, 4), (3, 5), (4, 5)}

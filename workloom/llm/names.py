@@ -219,11 +219,12 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataFrame:
-    """id, entity: the names of names (id, name) that have another spelling, by entity (the least id of each).
+    """id, entity, n_links: every id of names (id, name), by entity (the least id of each), with the number of other ids of it.
 
     Names of the same tokens are one entity at once; among the others, those with a rare token in common, or
     two within few edits, are compared if their frequent tokens are the same (misspelt and abbreviated ones
-    are read as the frequent token they stand for). Null names and names without any token are linked to none.
+    are read as the frequent token they stand for). Null names and names without any token are linked to none
+    and are entities of their own. Rows without an id have none.
     """
     given = names.select(F.col(ident).cast("long").alias("id"), name_tokens(F.col(name)).alias("tokens")).where("id is not null and size(tokens) > 0")
     signed = cut(given.withColumn("signature", F.array_join(F.array_sort("tokens"), " ")))
@@ -266,10 +267,15 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataF
     edges = pairs.mapInArrow(_aligned, "a long, b long")
     grouped = components(edges)
     entity = signed.join(distinct.select("signature", "first", "copies"), "signature").join(grouped.withColumnsRenamed({"node": "first"}), "first", "left")
-    return entity.where("copies > 1 or label is not null").select("id", F.coalesce("label", "first").alias("entity"))
+    linked = cut(entity.where("copies > 1 or label is not null").select("id", F.coalesce("label", "first").alias("entity")))
+    sizes = linked.groupBy("entity").agg(F.count_distinct("id").alias("size"))
+    n_links = linked.distinct().join(sizes, "entity").select("id", "entity", (F.col("size") - 1).alias("n_links"))
+    every = names.select(F.col(ident).cast("long").alias("id")).where("id is not null").distinct()
+    return every.join(n_links, "id", "left").select("id", F.coalesce("entity", "id").alias("entity"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def linked_pairs(linked: DataFrame, a: str, b: str) -> DataFrame:
     """Every pair of ids of one entity, a < b."""
+    linked = linked.where("n_links > 0")
     left, right = linked.select(F.col("id").alias(a), "entity"), linked.select(F.col("id").alias(b), "entity")
     return left.join(right, "entity").where(F.col(a) < F.col(b)).select(a, b)

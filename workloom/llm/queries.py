@@ -81,7 +81,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The companies with more than one spelling, by organisation."""
+    """Every company with its organisation and the number of its other spellings."""
     return names.link_names(table(spark, sf_dir, "dim_companies"))
 
 
