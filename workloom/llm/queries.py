@@ -133,7 +133,7 @@ single AS (SELECT skill_id, count(*) AS n FROM rows GROUP BY skill_id),
 total AS (SELECT count(DISTINCT job_id) AS n FROM fact_job_skill_demand),
 both_asked AS (
   SELECT x.skill_id AS skill_a, y.skill_id AS skill_b, count(*) AS n_ab
-  FROM rows x JOIN rows y ON x.job_id = y.job_id AND x.skill_id < y.skill_id GROUP BY 1, 2 HAVING count(*) >= 5),
+  FROM rows x JOIN rows y ON x.job_id = y.job_id AND x.skill_id < y.skill_id GROUP BY 1, 2),
 counted AS (
   SELECT skill_a, skill_b, n_ab, a.n AS n_a, b.n AS n_b, total.n AS n_jobs
   FROM both_asked JOIN single a ON a.skill_id = skill_a JOIN single b ON b.skill_id = skill_b CROSS JOIN total)
@@ -158,7 +158,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p1_found": _PAIRS_SQL + "SELECT skill_a, skill_b FROM counted WHERE n_ab * n_jobs >= 4 * n_a * n_b",
+        "p1_found": _PAIRS_SQL + "SELECT skill_a, skill_b FROM counted WHERE n_ab >= 5 AND n_ab * n_jobs >= 4 * n_a * n_b",
         "p1_pmi": _PAIRS_SQL + """SELECT skill_a, skill_b, n_ab, n_a, n_b,
           round(n_ab::DOUBLE * n_jobs / (n_a::DOUBLE * n_b), 6) AS lift,
           round(log2(n_ab::DOUBLE * n_jobs / (n_a::DOUBLE * n_b)), 6) AS pmi FROM counted""",
