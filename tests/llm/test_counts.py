@@ -78,9 +78,9 @@ def test_bitmaps():
 def test_frequencies(spark, monkeypatch):
     monkeypatch.setattr(termfreq, "GATHERED_ROWS", 50)
     rng = random.Random(3)
-    names = [(1, " Kiln  Firing"), (2, "kiln firing"), (3, "Welding\t"), (4, "unused"), (5, None), (6, "common")]
-    rows = [(rng.choice([None, *range(0, 10**12, 10**10)]), rng.choice([None, 1, 2, 3, 6, 6, 6, 77])) for _ in range(2000)]
-    term_of = {1: "kiln firing", 2: "kiln firing", 3: "welding", 4: "unused", 6: "common"}
+    names = [(-1, "unknown"), (0, "nought"), (1, " Kiln  Firing"), (2, "kiln firing"), (3, "Welding\t"), (4, "unused"), (5, None), (6, "common")]
+    rows = [(rng.choice([None, *range(-(10**10), 10**12, 10**10)]), rng.choice([None, -1, 0, 1, 2, 3, 6, 6, 6, 77])) for _ in range(2000)]
+    term_of = {-1: "unknown", 0: "nought", 1: "kiln firing", 2: "kiln firing", 3: "welding", 4: "unused", 6: "common"}
     occurrences, records, every = Counter(), defaultdict(set), set()
     for record, item in rows:
         if record is not None:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from workloom.runtime import small_side
+from workloom.runtime import cut, small_side
 
 SHARD_BITS = 26
 #: Rows a worker gathers before it hands on their bitmaps.
@@ -69,11 +69,12 @@ def union(parts: list[bytes]) -> bytes:
     return parts[0] if len(parts) == 1 else pack(np.unique(np.concatenate([unpack(p) for p in parts])))
 
 
-_SCHEMA = "term_key long, shard long, occurrences long, bitmap binary"
+_SCHEMA = "whole boolean, term_key long, shard long, occurrences long, bitmap binary"
 
 
-def _emit(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((ids, keys))
+def _emit(keys: np.ndarray, ids: np.ndarray, whole: bool) -> pa.RecordBatch:
+    """A bitmap for each key and shard of the rows; whole: for each shard alone, under the key 0."""
+    order = np.argsort(ids, kind="stable") if whole else np.lexsort((ids, keys))
     keys, ids = keys[order], ids[order]
     new = np.ones(len(keys), bool)
     new[1:] = (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])
@@ -84,7 +85,8 @@ def _emit(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
     bounds = [*start.tolist(), len(keys)]
     low = ids - (shards << SHARD_BITS)
     bitmaps = [pack(low[a:b][new[a:b]]) for a, b in zip(bounds, bounds[1:])]
-    return pa.RecordBatch.from_arrays([pa.array(keys[start]), pa.array(shards[start]), pa.array(np.diff(bounds).astype("i8")), pa.array(bitmaps, pa.binary())], names=["term_key", "shard", "occurrences", "bitmap"])
+    kind = pa.array(np.full(len(start), whole))
+    return pa.RecordBatch.from_arrays([kind, pa.array(keys[start]), pa.array(shards[start]), pa.array(np.diff(bounds).astype("i8")), pa.array(bitmaps, pa.binary())], names=["whole", "term_key", "shard", "occurrences", "bitmap"])
 
 
 def _slices(batch: pa.RecordBatch, bytes_most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -94,17 +96,30 @@ def _slices(batch: pa.RecordBatch, bytes_most: int = 4 << 20) -> Iterator[pa.Rec
         yield batch.slice(at, step)
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, ids, held = [], [], 0
+def _build(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Bitmaps of the rows (key or null, record); whole: those of all their records too."""
+    keys, ids, all_ids, held = [], [], [], 0
+
+    def emitted() -> Iterator[pa.RecordBatch]:
+        if sum(map(len, keys)):
+            yield from _slices(_emit(np.concatenate(keys), np.concatenate(ids), False))
+        if whole:
+            every = np.concatenate(all_ids)
+            yield from _slices(_emit(np.zeros(len(every), "i8"), every, True))
+
     for batch in batches:
-        keys.append(batch.column(0).to_numpy(zero_copy_only=False))
-        ids.append(batch.column(1).to_numpy(zero_copy_only=False))
+        key, record = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
+        known = ~key.is_null().to_numpy(zero_copy_only=False)
+        keys.append(key.fill_null(0).to_numpy(zero_copy_only=False)[known])
+        ids.append(record[known])
+        if whole:
+            all_ids.append(record)
         held += batch.num_rows
         if held >= GATHERED_ROWS:
-            yield from _slices(_emit(np.concatenate(keys), np.concatenate(ids)))
-            keys, ids, held = [], [], 0
+            yield from emitted()
+            keys, ids, all_ids, held = [], [], [], 0
     if held:
-        yield from _slices(_emit(np.concatenate(keys), np.concatenate(ids)))
+        yield from emitted()
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,12 +128,12 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     waiting: list[bytes] = []
     done: list[tuple] = []
     for batch in batches:
-        for term, shard, n, bitmap in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if (term, shard) != key:
+        for *at, n, bitmap in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            if at != key:
                 if key is not None:
                     held = union([held, *waiting] if held else waiting)
                     done.append((*key, occurrences, cardinality(held)))
-                key, held, occurrences, waiting = (term, shard), b"", 0, []
+                key, held, occurrences, waiting = at, b"", 0, []
             occurrences += n
             waiting.append(bitmap)
             if sum(map(len, waiting[-64:])) > 4 << 20 or len(waiting) >= 64:
@@ -133,20 +148,21 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(done: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in zip(*done)], names=["term_key", "shard", "occurrences", "records"])
+    kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*done), kinds)], names=["whole", "term_key", "shard", "occurrences", "records"])
 
 
-def bitmap_frequencies(rows: DataFrame, key: str, record: str) -> DataFrame:
-    """term_key, occurrences, records: rows and distinct records of each key (both integers); null keys and records count nowhere."""
-    clean = rows.select(F.col(key).cast("long").alias("term_key"), F.col(record).cast("long").alias("record")).where("term_key is not null and record is not null")
-    built = clean.mapInArrow(_build, _SCHEMA)
-    placed = built.repartition("term_key", "shard").sortWithinPartitions("term_key", "shard")
-    merged = placed.mapInArrow(_merge, "term_key long, shard long, occurrences long, records long")
-    return merged.groupBy("term_key").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
+def bitmap_frequencies(rows: DataFrame, key: str, record: str, whole: bool = False) -> DataFrame:
+    """term_key, occurrences, records: rows and distinct records of each key (both integers); null keys and records count nowhere.
 
-
-#: The key under which the records of all rows are counted.
-ALL_RECORDS = -1
+    whole: one row more, with a null term_key, for all rows whose record isn't null, of whatever key.
+    """
+    given = rows.select(F.col(key).cast("long").alias("term_key"), F.col(record).cast("long").alias("record")).where("record is not null")
+    built = (given if whole else given.where("term_key is not null")).mapInArrow(lambda batches: _build(batches, whole), _SCHEMA)
+    by = ("whole", "term_key", "shard")
+    merged = built.repartition(*by).sortWithinPartitions(*by).mapInArrow(_merge, "whole boolean, term_key long, shard long, occurrences long, records long")
+    summed = merged.groupBy("whole", "term_key").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
+    return summed.select(F.when(~F.col("whole"), F.col("term_key")).alias("term_key"), "occurrences", "records")
 
 
 def normal_term(name) -> F.Column:
@@ -166,10 +182,9 @@ def term_frequencies(rows: DataFrame, record: str, item: str, names: DataFrame,
     terms = named.groupBy("term").agg(F.min("_id").cast("long").alias("term_key"))
     lookup = small_side(named.join(terms, "term").where("_id is not null").select(F.col("_id").alias("_item"), "term_key").distinct())
     given = rows.select(F.col(record).alias("record"), F.col(item).alias("_item"))
-    keyed = given.join(lookup, "_item", "left").select("record", F.explode(F.array(F.lit(ALL_RECORDS).cast("long"), F.col("term_key"))).alias("key"))
-    found = bitmap_frequencies(keyed, "key", "record")
-    total = found.where(F.col("term_key") == ALL_RECORDS).agg(F.coalesce(F.sum("records"), F.lit(0)).alias("total_records"))
-    counted = terms.join(found.where(F.col("term_key") != ALL_RECORDS), "term_key", "left").crossJoin(F.broadcast(total))
+    found = cut(bitmap_frequencies(given.join(lookup, "_item", "left"), "term_key", "record", whole=True))  # one row a term
+    total = found.where("term_key is null").agg(F.coalesce(F.sum("records"), F.lit(0)).alias("total_records"))
+    counted = terms.join(found.where("term_key is not null"), "term_key", "left").crossJoin(F.broadcast(total))
     records = F.coalesce("records", F.lit(0))
     mark = F.when(records < rare_below, "rare").when(records > common_above * F.col("total_records"), "common")
     return counted.select("term", F.coalesce("occurrences", F.lit(0)).alias("occurrences"), records.alias("records"), "total_records", mark.alias("mark"))
