@@ -2,14 +2,13 @@
 
 The bitmaps follow the public roaring layout: ids are split into a high part and a low part of 16 bits; a
 container holds the low parts of one high part, as sorted 16-bit numbers, or as 8 KB of bits once that is
-smaller. Workers build bitmaps of what they read (the map-side part), bitmaps of one term and shard are
+smaller. The high parts and sizes of all containers come first, then the containers. Workers build bitmaps of what they read (the map-side part), bitmaps of one term and shard are
 merged by union, and the number of records is the cardinality. A shard is a range of 2^26 ids, so that no
 union has more than 8 MB, however hot its term.
 """
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,46 +26,51 @@ _ARRAY_MOST = 4096
 
 def pack(low: np.ndarray) -> bytes:
     """Bitmap of sorted distinct ids within a shard."""
-    high, start = np.unique(low >> 16, return_index=True)
-    bounds, out = [*start.tolist(), len(low)], [struct.pack("<I", len(high))]
-    for k, h in enumerate(high.tolist()):
-        part = (low[bounds[k] : bounds[k + 1]] & 0xFFFF).astype("<u2")
-        out.append(struct.pack("<II", h, len(part)))
-        if len(part) <= _ARRAY_MOST:
-            out.append(part.tobytes())
-        else:
-            bits = np.zeros(65536, "u1")
-            bits[part] = 1
-            out.append(np.packbits(bits, bitorder="little").tobytes())
-    return b"".join(out)
+    high = low >> 16
+    start = np.flatnonzero(np.diff(high, prepend=-1)) if len(low) else np.empty(0, "i8")
+    sizes = np.diff(start, append=len(low))
+    head = np.concatenate([[len(start)], high[start], sizes]).astype("<u4").tobytes()
+    part, out, done = (low & 0xFFFF).astype("<u2"), [head], 0
+    for k in np.flatnonzero(sizes > _ARRAY_MOST).tolist():
+        first, last = int(start[k]), int(start[k] + sizes[k])
+        bits = np.zeros(65536, "u1")
+        bits[part[first:last]] = 1
+        out += [part[done:first].tobytes(), np.packbits(bits, bitorder="little").tobytes()]
+        done = last
+    return b"".join([*out, part[done:].tobytes()])
+
+
+def _head(data: bytes) -> tuple[np.ndarray, np.ndarray, int]:
+    """High parts and sizes of the containers, and where these begin."""
+    count = int(np.frombuffer(data, "<u4", 1)[0])
+    high, sizes = np.frombuffer(data, "<u4", 2 * count, 4).astype("i8").reshape(2, count)
+    return high, sizes, 4 + 8 * count
 
 
 def unpack(data: bytes) -> np.ndarray:
     """The sorted ids of a bitmap."""
-    (count,), at, parts = struct.unpack_from("<I", data), 4, []
-    for _ in range(count):
-        high, size = struct.unpack_from("<II", data, at)
-        at += 8
-        if size <= _ARRAY_MOST:
-            low, at = np.frombuffer(data, "<u2", size, at).astype("i8"), at + 2 * size
-        else:
-            bits = np.unpackbits(np.frombuffer(data, "u1", 8192, at), bitorder="little")
-            low, at = np.flatnonzero(bits).astype("i8"), at + 8192
-        parts.append((high << 16) + low)
-    return np.concatenate(parts) if parts else np.empty(0, "i8")
+    high, sizes, at = _head(data)
+    low, done, filled = np.empty(int(sizes.sum()), "i8"), 0, 0
+    for k in [*np.flatnonzero(sizes > _ARRAY_MOST).tolist(), len(sizes)]:
+        n = int(sizes[done:k].sum())
+        low[filled : filled + n] = np.frombuffer(data, "<u2", n, at)
+        at, filled = at + 2 * n, filled + n
+        if k < len(sizes):
+            low[filled : filled + int(sizes[k])] = np.flatnonzero(np.unpackbits(np.frombuffer(data, "u1", 8192, at), bitorder="little"))
+            at, filled, done = at + 8192, filled + int(sizes[k]), k + 1
+    return low + np.repeat(high << 16, sizes)
 
 
 def cardinality(data: bytes) -> int:
-    (count,), at, total = struct.unpack_from("<I", data), 4, 0
-    for _ in range(count):
-        _, size = struct.unpack_from("<II", data, at)
-        at += 8 + (2 * size if size <= _ARRAY_MOST else 8192)
-        total += size
-    return total
+    return int(_head(data)[1].sum())
 
 
 def union(parts: list[bytes]) -> bytes:
-    return parts[0] if len(parts) == 1 else pack(np.unique(np.concatenate([unpack(p) for p in parts])))
+    if len(parts) == 1:
+        return parts[0]
+    ids = np.concatenate([unpack(p) for p in parts])
+    ids.sort(kind="stable")  # merges the runs
+    return pack(ids[np.diff(ids, prepend=-1) > 0])
 
 
 _SCHEMA = "whole boolean, term_key long, shard long, occurrences long, bitmap binary"
