@@ -13,7 +13,7 @@ def test_search_like_brute_force():
     trie, rng = titles.Trie([(k, x.lower()) for k, x in LIST]), random.Random(2)
     alphabet = "abdeilnorstuvgkm"
     for _ in range(150):
-        path = rng.choice(list(trie.exact))
+        path = rng.choice(list(trie.paths))
         key = list(path)
         for _ in range(rng.randint(0, 4)):
             at = rng.randrange(len(key) + 1)
@@ -29,7 +29,7 @@ def test_search_like_brute_force():
                     key[at], key[at + 1] = key[at + 1], key[at]
         key = "".join(key)
         most, want = titles.allowed_edits(len(key)), {}
-        for other, hits in trie.exact.items():
+        for other, hits in trie.paths.items():
             d = names.edits(key, other, most)
             for ident, least in hits:
                 if d <= most and d < least:
@@ -37,6 +37,18 @@ def test_search_like_brute_force():
         assert trie.search(key, most) == want, key
 
 
+def test_a_path_itself_keeps_its_neighbours():
+    trie = titles.Trie([(4, "wood machine operators"), (5, "wool machine operators")])
+    assert trie.search("woodmachineoperator", 2) == {4: 0, 5: 1} and trie.search("woodmachineoperatot", 2) == {4: 1, 5: 2}
+
+
+def test_other_alphabets(spark):
+    rows = [(1, "Пекарь хлеба"), (2, "Старший пекарь"), (3, "Хлеба пекарь"), (4, "面包师")]
+    reference = spark.createDataFrame([(1, "хлеба пекарь"), (2, "面包师")], "id int, noc21_name string")
+    got = titles.map_titles(spark.createDataFrame(rows, "job_id bigint, raw_title string"), reference).collect()
+    assert {r.job_id: r.entry_id for r in got} == {1: 1, 2: None, 3: 1, 4: 2}
+
+
 CASES = [
     ("Senior Kiln Firring Labourer II", 1), ("laborer - kiln firing", 1), ("Engr. - KILN FIRING", 2), ("Manager Drone & Survey (m/f/x)", 3), ("URGENT: Hosp. laundry mgr – 12 month contract", 4), ("coordinator / library | Port Halder", 5), ("Co-ordinator, Library Cataloguing", 5),
     ("LeadGlass tempering splst", 6), ("glass tempering dept / specialist, Kettle Narrows ON", 6), ("2x Kiln firing labourers [ID 87842]", 1), ("Specialist (glass tempering) - $47/hr", 6), ("Dorne survey manaegr Req #5", 3),

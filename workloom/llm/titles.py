@@ -41,10 +41,10 @@ def allowed_edits(n: int) -> int:
 
 
 def title_key(title: Column) -> Column:
-    """The letters of a title, in lower case and without marks, blanks and what only concerns the posting."""
+    """The letters of a title, of any alphabet, in lower case and without marks, blanks and what only concerns the posting."""
     text = F.regexp_replace(F.regexp_replace(F.regexp_replace(fold(title), _ANYWHERE, " "), _PLACE, " "), _LEVEL, " ")
     bare = F.regexp_replace(F.regexp_replace(text, _BEFORE, ""), _LEVEL, " ")
-    return F.regexp_replace(F.regexp_replace(bare, r"(?<=[\s/,(-])(?:dept|department|of|and)\b|&", " "), r"[^a-z]+", "")
+    return F.regexp_replace(F.regexp_replace(bare, r"(?<=[\s/,(-])(?:dept|department|of|and)\b|&", " "), r"\P{L}+", "")
 
 
 def paths(entry: str) -> dict[str, int]:
@@ -64,24 +64,118 @@ def paths(entry: str) -> dict[str, int]:
         for form in roles:
             least = min([len(form), len(stem)]) if stem else len(form)
             for path in {stem + form, form + stem}:
-                path = "".join(ch for ch in path if "a" <= ch <= "z")
+                path = "".join(filter(str.isalpha, path))
                 out[path] = max(out.get(path, 0), least)
     return out
 
 
+class Automaton:
+    """The Levenshtein automaton of up to most edits, for titles of any letters; its table is filled as it is used.
+
+    Before the i-th letter of a path, cell c of a band stands for the title's first i - most + c letters. A state
+    is (band, band of swaps begun); a step reads the window of the title's letters i - most - 1 to i + most + 1,
+    as bits that tell which equal the path's letter.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.width = most, 2 * most + 1
+        self.window = (1 << (self.width + 2)) - 1
+        self.steps: list[dict[int, int]] = []
+        self.bands: list[tuple[int, ...]] = []
+        #: The first cell of each state's band that is within reach; behind the band if none is.
+        self.alive: list[int] = []
+        #: For states without an edit left, where in the window the letters are that lead on; None for the others.
+        self.ways: list[tuple[int, ...] | None] = []
+        self._states: list[tuple[tuple[int, ...], tuple[int, ...]]] = []
+        self._numbers: dict[tuple, int] = {}
+        self.start = self._number(tuple(c - most if c >= most else most + 1 for c in range(self.width)), (most + 1,) * self.width)
+
+    def _number(self, band: tuple[int, ...], swaps: tuple[int, ...]) -> int:
+        found = self._numbers.setdefault((band, swaps), len(self._states))
+        if found == len(self._states):
+            self._states.append((band, swaps))
+            self.bands.append(band)
+            self.steps.append({})
+            self.alive.append(next((c for c, d in enumerate(band) if d <= self.most), self.width))
+            ways = {c + 1 for c, d in enumerate(band) if d <= self.most} | {c for c, d in enumerate(swaps) if d <= self.most}
+            self.ways.append(None if min(band) < self.most else tuple(sorted(ways)))
+        return found
+
+    def step(self, state: int, seen: int) -> int:
+        band, swaps = self._states[state]
+        beyond, new = self.most + 1, []
+        for c in range(self.width):
+            if seen >> (c + 1) & 1:
+                d = band[c]
+            else:
+                d = 1 + min(band[c], band[c + 1] if c + 1 < self.width else beyond, new[c - 1] if c else beyond)
+            if seen >> c & 1:
+                d = min(d, swaps[c])
+            new.append(min(d, beyond))
+        begun = tuple(min(band[c] + 1, beyond) if seen >> (c + 2) & 1 else beyond for c in range(self.width))
+        found = self.steps[state][seen] = self._number(tuple(new), begun)
+        return found
+
+
+_AUTOMATA: dict[int, Automaton] = {}
+
+
+def _within(top: dict, key: str, most: int) -> Iterator[tuple[dict, int]]:
+    """(node, distance) of the nodes below top whose path from it is within most edits of key."""
+    if not most:
+        for ch in key:
+            top = top.get(ch)
+            if top is None:
+                return
+        yield top, 0
+        return
+    if most not in _AUTOMATA:
+        _AUTOMATA[most] = Automaton(most)
+    automaton, n = _AUTOMATA[most], len(key)
+    steps, bands, alive, ways, window, width = automaton.steps, automaton.bands, automaton.alive, automaton.ways, automaton.window, automaton.width
+    places: dict[str, int] = {}
+    for at, ch in enumerate(key, most + 1):
+        places[ch] = places.get(ch, 0) | 1 << at
+    stack = [(top, automaton.start, 0)]
+    while stack:
+        node, state, depth = stack.pop()
+        end = n - depth + most  # the cell of the whole key; the next one is one less
+        if end < width and bands[state][end] <= most:
+            yield node, bands[state][end]
+        on, left = ways[state], depth - most - 1
+        children = node.items() if on is None else [(ch, node[ch]) for ch in {key[left + p] for p in on if 0 <= left + p < n} if ch in node]
+        for ch, child in children:
+            if ch:
+                seen = places.get(ch, 0) >> depth & window
+                after = steps[state].get(seen)
+                if after is None:
+                    after = automaton.step(state, seen)
+                if alive[after] < end:
+                    stack.append((child, after, depth + 1))
+
+
 class Trie:
-    """Nodes are dicts by letter; under "" a node has its entries as (entry, length of the shortest part)."""
+    """Nodes are dicts by letter; under "" a node has its entries as (entry, length of the shortest part).
+
+    A second trie holds the paths backwards. Of the edits between a key and a path, the first or the second half
+    of the key has only the lesser part: each trie is entered with the few edits of its first half and gone on
+    with the rest, so that the many branches near the root are cut early. No path is lost by this: k edits are
+    split into (0, k), (1, k - 1) and so on, the first of which go forwards, the others backwards; and a swap
+    across the middle is searched by itself.
+    """
 
     def __init__(self, entries: list[tuple[int, str]]):
-        self.root: dict = {}
-        self.exact: dict[str, list[tuple[int, int]]] = {}
+        self.forwards: dict = {}
+        self.backwards: dict = {}
+        self.paths: dict[str, list[tuple[int, int]]] = {}
         for ident, entry in entries:
             for path, least in paths(entry).items():
-                node = self.root
-                for ch in path:
+                self.paths.setdefault(path, []).append((ident, least))
+        for path, hits in self.paths.items():
+            for node, letters in ((self.forwards, path), (self.backwards, path[::-1])):
+                for ch in letters:
                     node = node.setdefault(ch, {})
-                node.setdefault("", []).append((ident, least))
-                self.exact.setdefault(path, []).append((ident, least))
+                node[""] = hits
 
     def search(self, key: str, most: int) -> dict[int, int]:
         """Every entry that has a path within most edits of key, with the least number of edits.
@@ -89,35 +183,28 @@ class Trie:
         Fewer edits are allowed than the shortest part of a path has letters, so that none is wholly edited away.
         """
         found: dict[int, int] = {}
-        n = len(key)
-        # the row of a path: its distances to the beginnings of key, those over most left at most + 1
-        stack = [(self.root, "", None, [min(i, most + 1) for i in range(n + 1)], 0)]
-        while stack:
-            node, last, before, row, depth = stack.pop()
-            hits = node.get("")
-            if hits and row[n] <= most:
-                for ident, least in hits:
-                    if row[n] < least and row[n] < found.get(ident, most + 1):
-                        found[ident] = row[n]
-            low, high = max(1, depth + 1 - most), min(n, depth + 1 + most)
-            for ch, child in node.items():
-                if not ch:
-                    continue
-                new = [most + 1] * (n + 1)
-                if depth + 1 <= most:
-                    new[0] = depth + 1
-                best = new[0]
-                for i in range(low, high + 1):
-                    here = key[i - 1]
-                    d = row[i - 1] if here == ch else min(row[i - 1], row[i], new[i - 1]) + 1
-                    if before is not None and i > 1 and here == last and key[i - 2] == ch and before[i - 2] + 1 < d:
-                        d = before[i - 2] + 1
-                    if d <= most:
-                        new[i] = d
-                        if d < best:
-                            best = d
-                if best <= most:
-                    stack.append((child, ch, row, new, depth + 1))
+
+        def add(hits: list[tuple[int, int]], d: int) -> None:
+            for ident, least in hits:
+                if d < least and d < found.get(ident, most + 1):
+                    found[ident] = d
+
+        if not most:
+            add(self.paths.get(key, []), 0)
+            return found
+        half = len(key) // 2
+        swapped = half and key[half - 1] != key[half]
+        for top, text, at, first in ((self.forwards, key, half, most // 2), (self.backwards, key[::-1], len(key) - half, (most - 1) // 2)):
+            for node, d in _within(top, text[:at], first):
+                for end, more in _within(node, text[at:], most - d):
+                    add(end.get("", []), d + more)
+            fewer = (most - 1) // 2 if top is self.forwards else (most - 2) // 2
+            if swapped and fewer >= 0:
+                for node, d in _within(top, text[: at - 1], fewer):
+                    node = node.get(text[at], {}).get(text[at - 1])
+                    if node is not None:
+                        for end, more in _within(node, text[at + 1 :], most - 1 - d):
+                            add(end.get("", []), d + 1 + more)
         return found
 
 
@@ -125,9 +212,7 @@ def _search(batches: Iterator[pa.RecordBatch], trie: Trie) -> Iterator[pa.Record
     for batch in batches:
         out = []
         for key in batch.column(0).to_pylist():
-            exact = trie.exact.get(key)
-            found = {ident: 0 for ident, _ in exact} if exact else trie.search(key, allowed_edits(len(key)))
-            out += [(key, ident, d) for ident, d in found.items()]
+            out += [(key, ident, d) for ident, d in trie.search(key, allowed_edits(len(key))).items()]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int32()))], names=["key", "entry_id", "distance"])
 
@@ -135,17 +220,23 @@ def _search(batches: Iterator[pa.RecordBatch], trie: Trie) -> Iterator[pa.Record
 _TRIES: dict[int, Trie] = {}
 #: Entries of the reference list in one trie; a longer list is searched in several.
 TRIE_ENTRIES = 50_000
+#: Keys that a task searches, as long as all cores have one.
+TASK_KEYS = 4_000
 
 
 def candidates(keys: DataFrame, reference: DataFrame) -> DataFrame:
-    """key, entry_id, distance: all entries of reference (id, name) within the distance allowed for each distinct key."""
+    """key, entry_id, distance: all entries of reference (id, name) within the distance allowed for each distinct key.
+
+    A list of more than TRIE_ENTRIES entries is searched part by part, with one part on the driver and the
+    workers at a time.
+    """
     spark = keys.sparkSession
     entries = reference.select(F.col("id").cast("long").alias("id"), fold(F.col("name")).alias("name")).where("id is not null and trim(name) <> ''")
-    parts = max(1, -(-entries.count() // TRIE_ENTRIES))
-    result = None
+    parts, result = max(1, -(-entries.count() // TRIE_ENTRIES)), None
+    spread = keys.select("key").repartition(max(spark.sparkContext.defaultParallelism, -(-keys.count() // TASK_KEYS)))
     for part in range(parts):
         own = entries if parts == 1 else entries.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == part)
-        held = spark.sparkContext.broadcast([(r.id, r.name) for r in own.collect()])  # about TRIE_ENTRIES entries at a time
+        held = spark.sparkContext.broadcast([(r.id, r.name) for r in own.collect()])  # about TRIE_ENTRIES entries
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             key = hash(tuple(held.value))
@@ -154,7 +245,10 @@ def candidates(keys: DataFrame, reference: DataFrame) -> DataFrame:
                 _TRIES[key] = Trie(held.value)
             return _search(batches, _TRIES[key])
 
-        found = keys.select("key").mapInArrow(run, "key string, entry_id long, distance int")
+        found = spread.mapInArrow(run, "key string, entry_id long, distance int")
+        if parts > 1:
+            found = cut(found)
+            held.destroy()
         result = found if result is None else result.unionByName(found)
     return result
 
@@ -166,10 +260,10 @@ def map_titles(postings: DataFrame, reference: DataFrame, ident: str = "job_id",
     within the distance, which depends on the letters of the key (see allowed_edits), also for null and empty
     titles. Titles that stand for no entry are thus reported, not dropped.
     """
-    keyed = postings.select(F.col(ident).alias("ident"), F.col(title).alias("title"), title_key(F.col(title)).alias("key"))
+    keyed = cut(postings.select(F.col(ident).alias("ident"), F.col(title).alias("title"), title_key(F.col(title)).alias("key")))  # its patterns are costly
     listed = reference.select(F.col(reference_id).alias("id"), F.col(reference_name).alias("name"))
     keys = cut(keyed.where("key <> ''").select("key").distinct())
-    found = candidates(keys.repartition(max(48, keys.rdd.getNumPartitions())), listed)
+    found = candidates(keys, listed)
     near = F.min("distance").alias("distance")
     per_key = found.groupBy("key").agg(near, F.array_sort(F.collect_list(F.struct("distance", "entry_id"))).alias("all"))  # at most the entries of the list
     best = F.filter("all", lambda x: x["distance"] == F.col("distance"))
