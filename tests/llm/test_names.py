@@ -28,6 +28,20 @@ def test_edits_and_deletions():
             assert names.deletions(a, 2) & names.deletions(b, 2)
 
 
+def test_long_tokens_share_a_part():
+    rng = random.Random(3)
+    for n in (23, 25, 40, 5000):
+        for _ in range(30 if n < 100 else 3):
+            a = "".join(rng.choice("abcdefgh") for _ in range(n))
+            b = list(a)
+            for _ in range(2):
+                at, move = rng.randrange(len(b) - 1), rng.randrange(4)
+                b[at : at + 2] = {0: [b[at + 1], b[at]], 1: [b[at]], 2: [b[at], "x", b[at + 1]], 3: ["y", b[at + 1]]}[move]
+            b = "".join(b)
+            assert names.edits(a, b, 2) <= 2 and names.part_keys(a, 2) & names.part_keys(b, 2)
+            assert len(names.part_keys(a, 2)) <= 125
+
+
 def test_assignment():
     rng = random.Random(2)
     for _ in range(200):
@@ -52,13 +66,14 @@ def test_components(spark):
     assert all(got[k] == 1 for k in range(1, 41)) and all(got[k] == 100 for k in range(100, 104)) and got[200] == got[201] == 200
 
 
-def test_planted_spellings(spark):
+def planted(n):
+    """(rows, entity by id): n organisations under up to four spellings each."""
     rng = random.Random(6)
     syllables = ["bo", "ka", "nu", "ri", "tas", "mel", "gor", "pim", "sud", "vex", "hal", "jon"]
     surnames = ["".join(rng.choice(syllables) for _ in range(3)) for _ in range(12)]
     lines = ["Bakery", "Freight", "Roofing", "Dental Clinic", "Window Cleaning"]
     rows, entity = [], {}
-    for e in range(150):
+    for e in range(n):
         first, second, line = "".join(rng.choice(syllables) for _ in range(5)).title(), rng.choice(surnames).title(), rng.choice(lines)
         given = rng.choice(["", "Robert ", "Katherine "])
         base = f"{given}{first} {second} {line}"
@@ -68,7 +83,14 @@ def test_planted_spellings(spark):
         for form in rng.sample(forms, rng.randint(1, 4)):
             entity[len(rows)] = (first, second, line, given)
             rows.append((len(rows), form))
-    rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, "Inc."), (len(rows) + 3, "x" * 5000), (len(rows) + 4, "x" * 5000)]
+    return rows, entity
+
+
+def test_planted_spellings(spark):
+    rows, entity = planted(150)
+    rng = random.Random(8)
+    vast = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5000))
+    rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, "Inc."), (len(rows) + 3, vast), (len(rows) + 4, vast[:2500] + vast[2501:])]
     df = spark.createDataFrame(rows, "id int, name string")
     linked = names.link_names(df)
     pairs = {(r.a, r.b) for r in names.linked_pairs(linked, "a", "b").collect()}
@@ -77,6 +99,19 @@ def test_planted_spellings(spark):
     want = {(a, b) for a in entity for b in entity if a < b and entity[a] == entity[b]}
     assert len(pairs & want) >= 0.95 * len(want) and len(pairs & want) >= 0.95 * len(pairs)
     assert names.link_names(df.limit(0)).isEmpty()
+    narrow = {(r.a, r.b) for r in names.linked_pairs(names.link_names(df, block_names=2), "a", "b").collect()}  # nearly all blocks are hot
+    assert len(narrow & want) >= 0.95 * len(want) and len(narrow & want) >= 0.95 * len(narrow)
+
+
+def test_many_names_of_one_frame(spark):
+    """100,000 names of one line of business whose blocks by surname are hot: none of them is compared whole."""
+    rng = random.Random(9)
+    surnames = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(4)) for _ in range(600)]
+    own = lambda k: "".join(("ba", "ko", "ri", "tu", "ne", "zo", "fi", "la", "mu", "se")[int(d)] for d in f"{k:05d}")
+    rows = [(k, f"{own(k)}xx {surnames[k % 600]} Bakery Inc.") for k in range(0, 100_000, 2)] + [(k, f"Bakery {surnames[(k - 1) % 600]} {own(k - 1)}xx") for k in range(1, 100_000, 2)]
+    linked = names.link_names(spark.createDataFrame(rows, "id int, name string"), block_names=50)
+    pairs = names.linked_pairs(linked, "a", "b")
+    assert pairs.where("a % 2 = 0 and b = a + 1").count() == 50_000
 
 
 def test_single_names_are_entities(spark):

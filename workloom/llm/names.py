@@ -1,18 +1,22 @@
 """Variant spellings of names: typos, abbreviations, initials, nicknames, reordered parts.
 
 Tokens within a small edit distance are found by a symmetric-delete index: two tokens within k edits share a
-string that is left after at most k deletions from each. Frequent tokens give the frame of a name (its line of
-business and the like), in which rare tokens are compared; candidate names are linked if an optimal assignment
-aligns all of their tokens, permitting initials, nicknames and abbreviations. Linked names are gathered into
-connected components by label propagation.
+string that is left after at most k deletions from each; long tokens, which would leave too many such strings,
+share one of 2 k + 1 parts instead. Frequent tokens give the frame of a name (its line of business and the
+like), in which rare tokens are compared; candidate names are linked if an optimal assignment aligns all of
+their tokens, permitting initials, nicknames and abbreviations. Names that share a rare token and a frame are a
+block; a name enters no block of more than BLOCK_NAMES names as long as it has a smaller one, and else only the
+part of it that shares a second token. Linked names are gathered into connected components by label propagation.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from workloom.runtime import cut, small_side
@@ -40,6 +44,10 @@ _BASE = "aaaaaaceeeeiiiinoooooouuuuyy"
 
 #: A token is frequent from this share of the names and this number of names on.
 FREQUENT_SHARE, FREQUENT_LEAST = 0.0025, 4
+#: Names that share a token and a frame, up to which they are all compared.
+BLOCK_NAMES = 1_000
+#: Tokens up to this length are indexed by deletions, longer ones by parts.
+LONG_TOKEN = 24
 #: Tokens from this length on may differ by two edits, shorter ones from four letters on by one.
 TWO_EDITS_FROM = 7
 
@@ -57,21 +65,29 @@ def name_tokens(name: Column) -> Column:
 
 
 def edits(a: str, b: str, most: int) -> int:
-    """Edit distance with swaps of neighbours, or most + 1 if it is more."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    before, row = None, list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        nxt = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, nxt[-1] + 1, row[j - 1] + (x != y))
-            if before is not None and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                d = min(d, before[j - 2] + 1)
-            nxt.append(d)
-        before, row = row, nxt
-        if min(row) > most:
-            return most + 1
-    return min(row[-1], most + 1)
+    """Edit distance with swaps of neighbours, or most + 1 if it is more; only the band of 2 * most + 1 cells is filled."""
+    beyond, n = most + 1, len(b)
+    if abs(len(a) - n) > most:
+        return beyond
+    if a == b:
+        return 0
+    before, band = [beyond] * (most + beyond), [max(c - most, 0) if c >= most else beyond for c in range(most + beyond)]
+    for i, x in enumerate(a):
+        new: list[int] = []
+        for c in range(most + beyond):
+            j = i + 1 - most + c
+            if j <= 0 or j > n:
+                new.append(min(i + 1, beyond) if j == 0 else beyond)
+                continue
+            y = b[j - 1]
+            d = band[c] if x == y else 1 + min(band[c], band[c + 1] if c < 2 * most else beyond, new[c - 1] if c else beyond)
+            if i and j > 1 and x == b[j - 2] and a[i - 1] == y:
+                d = min(d, before[c] + 1)
+            new.append(min(d, beyond))
+        before, band = band, new
+        if min(band) > most:
+            return beyond
+    return band[n - len(a) + most]
 
 
 def edits_allowed(n: int) -> int:
@@ -159,17 +175,35 @@ def deletions(token: str, most: int) -> set[str]:
     return out
 
 
+def part_keys(token: str, most: int) -> set[str]:
+    """Keys of which two tokens within most edits share one: an edit touches at most two of 2 * most + 1 equal parts."""
+    n, parts = len(token), 2 * most + 1
+    out = set()
+    for length in range(n - most, n + most + 1):
+        for k in range(parts):
+            first, last = k * length // parts, (k + 1) * length // parts
+            for shift in range(-most, most + 1):
+                if 0 <= first + shift and last + shift <= n:
+                    part = hashlib.blake2b(token[first + shift : last + shift].encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+                    out.add(f"{k}:{length}:{part}")
+    return out
+
+
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, token, n) for each token: what deletions leave of it; its prefixes; for abbreviations themselves."""
+    """(key, token, n) for each token: what deletions leave of it, or its parts; its prefixes; for abbreviations themselves."""
     for batch in batches:
         keys, tokens, counts = [], [], []
         for token, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             word = token.rstrip(".")
-            own = {f"d:{x}" for x in deletions(word, edits_allowed(len(word)))}
+            most, own = edits_allowed(len(word)), set()
+            if len(word) <= LONG_TOKEN:
+                own |= {f"d:{x}" for x in deletions(word, most)}
+            if len(word) > LONG_TOKEN - most:
+                own |= {f"d:{x}" for x in part_keys(word, most)}
             if token.endswith(".") and len(word) >= 2:
-                own.add(f"p:{word}")
+                own.add(f"p:{word[:LONG_TOKEN]}")
             else:
-                own |= {f"p:{word[:k]}" for k in range(3, len(word))}
+                own |= {f"p:{word[:k]}" for k in range(2, min(len(word), LONG_TOKEN + 1))}
             keys += own
             tokens += [token] * len(own)
             counts += [n] * len(own)
@@ -218,7 +252,57 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([keep.column(0), keep.column(1)], names=["a", "b"])
 
 
-def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataFrame:
+def _initials(token: Column) -> Column:
+    """The initials a given name or initial may stand for."""
+    full = {short: sorted({short[0], *(f[0] for f in names)}) for short, names in _FULL_NAMES.items()}
+    known = F.lit(None).cast("array<string>")
+    for initials in {tuple(x) for x in full.values() if len(x) > 1}:
+        known = F.when(token.isin(sorted(k for k, x in full.items() if tuple(x) == initials)), F.array(*map(F.lit, initials))).otherwise(known)
+    return F.coalesce(known, F.array(F.substring(token, 1, 1)))
+
+
+def _met(framed: DataFrame, ways: DataFrame, tokens: DataFrame, block_names: int) -> DataFrame:
+    """a, b (a < b): the names of framed (first, token, within) to be compared.
+
+    A name enters the blocks (token, within) of its tokens and of those they may stand for (ways: token, other).
+    Where a token would meet more than block_names names, it is left to the name's other tokens; a name with
+    only such tokens meets the names that share its two rarest ones, or, with one, those of which a token begins
+    like its first given name too (tokens: first, token, personal). All tokens of linked names stand for one
+    another, so this loses only pairs that are alike in their frequent blocks alone: rarest tokens that are
+    abbreviated without a full stop, or a given name with another first letter.
+    """
+    sizes = framed.groupBy(F.col("token").alias("other"), "within").agg(F.count(F.lit(1)).alias("n"))
+    entries = cut(framed.join(ways, "token").join(sizes, ["other", "within"]).select("first", "token", "other", "within", "n"))
+    of_token = entries.groupBy("first", "token", "within").agg(F.sum("n").alias("n"))
+    by_name = W.partitionBy("first").orderBy("n", "token")  # a name's few tokens
+    placed = cut(of_token.withColumns({"place": F.row_number().over(by_name), "least": F.min("n").over(W.partitionBy("first"))}))
+    entered = entries.drop("n").join(placed.where(F.col("n") <= block_names).select("first", "token"), ["first", "token"], "left_semi")
+    blocks = framed.select(F.col("token").alias("other"), "within", F.col("first").alias("b"))
+    met = entered.join(blocks, ["other", "within"]).select(F.col("first").alias("a"), "b")
+
+    hot = cut(placed.where((F.col("least") > block_names) & (F.col("place") <= 2)).select("first", "token", "within", "place"))
+    if not hot.isEmpty():
+        within = small_side(hot.select("within").distinct())
+        here = cut(framed.join(within, "within", "left_semi"))
+        other = entries.drop("n").join(hot.select("first", "token", "place"), ["first", "token"])
+        one, two = other.where("place = 1"), other.where("place = 2").select("first", F.col("other").alias("second"))
+        key = (F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.col("within"))
+        probes = one.join(two, "first").select(F.col("first").alias("a"), F.col("other").alias("x"), F.col("second").alias("y"), "within").select("a", *key).distinct()
+        pairs = here.select(F.col("first").alias("b"), F.col("token").alias("x"), "within").join(here.select(F.col("first").alias("b"), F.col("token").alias("y")), "b").where("x < y")
+        met = met.unionByName(probes.join(pairs, ["x", "y", "within"]).select("a", "b"))
+
+        single = one.join(hot.where("place = 2").select("first"), "first", "left_anti").select("first", "other", "within")
+        given = tokens.where("personal").groupBy("first").agg(F.min("token").alias("given"))
+        singles = single.join(given, "first", "left").select(F.col("first").alias("a"), "other", "within", "given")
+        all_of = here.select(F.col("first").alias("b"), F.col("token").alias("other"), "within")
+        letters = tokens.join(here.select("first").distinct(), "first", "left_semi").select(F.col("first").alias("b"), F.explode(_initials(F.col("token"))).alias("letter")).distinct()
+        bare = singles.where("given is null").join(all_of, ["other", "within"]).select("a", "b")
+        lettered = singles.where("given is not null").select("a", "other", "within", F.explode(_initials(F.col("given"))).alias("letter"))
+        met = met.unionByName(bare).unionByName(lettered.join(all_of.join(letters, "b"), ["other", "within", "letter"]).select("a", "b"))
+    return met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def link_names(names: DataFrame, ident: str = "id", name: str = "name", block_names: int = BLOCK_NAMES) -> DataFrame:
     """id, entity, n_links: every id of names (id, name), by entity (the least id of each), with the number of other ids of it.
 
     Names of the same tokens are one entity at once; among the others, those with a rare token in common, or
@@ -239,7 +323,7 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataF
     # the frequent token that a rarer one stands for: at most 1 / FREQUENT_SHARE tokens a name are frequent
     common = counted.where(F.col("n") >= frequent).select(F.rtrim("token", F.lit(".")).alias("word"), "n").groupBy("word").agg(F.max("n").alias("n"))
     given_names = F.col("word").isin(sorted(_FULL_NAMES))
-    lines = F.broadcast(common.where(~given_names & (F.length("word") > 3)))
+    lines = small_side(common.where(~given_names & (F.length("word") > 3)))
     shortform = F.endswith("token", F.lit("."))
     rare = counted.where((F.col("n") < frequent) | shortform)
     close = near.where((F.col("other_n") >= frequent) & (F.col("n") * 3 < F.col("other_n"))).select("token", F.rtrim("other", F.lit(".")).alias("word"), F.col("other_n").alias("weight"), F.levenshtein(F.rtrim("token", F.lit(".")), F.rtrim("other", F.lit("."))).alias("d"))
@@ -256,12 +340,10 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name") -> DataF
     part = tokens.withColumn("personal", bare.isin(sorted(_FULL_NAMES)) | (F.length(bare) == 1))
     frame = part.groupBy("first").agg(F.array_join(F.array_sort(F.collect_list(F.when(~F.col("personal"), F.col("frame")))), " ").alias("frame"), F.count(F.when(~F.col("personal") & F.col("frame").isNull(), 1)).alias("n_rare"), F.count(F.lit(1)).alias("n_tokens"))
     frame = frame.withColumn("frame", F.concat_ws(" ", "frame", F.col("n_tokens").cast("string")))  # only names of as many tokens can be aligned
-    keyed = cut(part.where("not personal and frame is null").select("first", "token").join(frame, "first").select("first", "token", F.col("frame").alias("within")))
+    keyed = part.where("not personal and frame is null").select("first", "token").distinct().join(frame, "first").select("first", "token", F.col("frame").alias("within"))
     framed = cut(keyed.unionByName(frame.where("n_rare = 0").select("first", F.lit("").alias("token"), F.col("frame").alias("within"))))
-
-    ways = near.select("token", "other").unionByName(framed.select("token", F.col("token").alias("other"))).distinct()
-    left = framed.join(ways, "token").select(F.col("first").alias("a"), F.col("other").alias("token"), "within")
-    met = left.join(framed, ["token", "within"]).where("a < first").select("a", F.col("first").alias("b")).distinct()
+    ways = cut(near.select("token", "other").unionByName(framed.select("token", F.col("token").alias("other"))).distinct())
+    met = _met(framed, ways, part.select("first", bare.alias("token"), "personal"), block_names)
     held = distinct.select("first", "tokens")
     pairs = met.join(held.withColumnsRenamed({"first": "a", "tokens": "x"}), "a").join(held.withColumnsRenamed({"first": "b", "tokens": "y"}), "b").select("a", "b", "x", "y")
     edges = pairs.mapInArrow(_aligned, "a long, b long")
