@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from workloom.llm import mixture
@@ -63,6 +64,33 @@ def test_empty(spark):
 
 
 def test_weights(spark):
-    rows = spark.createDataFrame([("abc def",), ("123",), ("",), (None,)], "text string")
-    got = [r.w for r in rows.select(mixture.quality_weight("text").alias("w")).collect()]
-    assert got[0] == 1.0 and got[1:] == [0.05, 0.05, 0.05]
+    plain = "The apparatus of claim 1, in which the valve is held by a spring and the spring is set in the housing."
+    rows = [plain, plain.replace("the", "t�e\x00"), "||| ~~~ 0x3F " * 20 + plain, "Die Vorrichtung nach Anspruch, die mit dem Ventil in der Kammer ist.", "123", "", None, "   ", plain * 2000, "Valve housing spring"]
+    got = [r.w for r in spark.createDataFrame([(x,) for x in rows], "text string").select(mixture.quality_weight("text").alias("w")).collect()]
+    assert got[0] > 0.9 and got[3] > 0.9 and got[8] > 0.9 and got[4:8] == [0.05] * 4
+    assert got[1] < 0.5 and got[2] < 0.8 * got[0] and 0.4 < got[9] < got[0]
+
+
+def test_low_and_useless_weights(spark):
+    """Low weights don't crowd the last bin; null, zero and negative ones come last, in the order of the ids."""
+    rows = [(k, "a", 10, 0.001) for k in range(2000)] + [(k, "a", 10, w) for k, w in ((5000, None), (5001, 0.0), (5002, -1.0))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, n_tokens bigint, weight double")
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int")
+    order = [r.doc_id for r in docs.where("weight > 0").select("doc_id", (-F.log(mixture.draw("doc_id", 7)) / F.col("weight")).alias("k")).orderBy("k").collect()] + [5000, 5001, 5002]
+    for n in (0, 777, 2001):
+        selection, _ = mixture.mix(docs, targets, weight="weight", total=n * 10)
+        assert {r.doc_id for r in selection.collect()} == set(order[:n])
+
+
+def test_shares_by_sql(spark, tmp_path):
+    """The shares told are those that SQL counts in the selection."""
+    duckdb = pytest.importorskip("duckdb")
+    docs, targets = tables(spark, corpus())
+    selection, shares = mixture.mix(docs, targets, weight="weight")
+    selection.write.parquet(f"{tmp_path}/selection")
+    targets.write.parquet(f"{tmp_path}/targets")
+    sql = f"""SELECT source, coalesce(sum(n_tokens * copies), 0)::BIGINT AS tokens, count(doc_id) AS n_documents, coalesce(sum(copies), 0)::BIGINT AS n_copies,
+      round(coalesce(sum(n_tokens * copies), 0) / (SELECT sum(n_tokens * copies) FROM read_parquet('{tmp_path}/selection/*.parquet')), 9) AS actual_share
+      FROM read_parquet('{tmp_path}/targets/*.parquet') t LEFT JOIN read_parquet('{tmp_path}/selection/*.parquet') s USING (source) GROUP BY source"""
+    told = {(r.source, r.tokens, r.n_documents, r.n_copies, round(r.actual_share, 9)) for r in shares.collect()}
+    assert told == set(duckdb.sql(sql).fetchall())
