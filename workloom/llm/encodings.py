@@ -330,7 +330,9 @@ def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     lossy = judged.where(F.col("restored").rlike(r"[?\x{FFFD}]"))
     parts = _split_words(lossy, "restored").withColumn("last", F.col("at") == F.max("at").over(_by_value()))
     hurt = F.col("word").rlike(r"[?\x{FFFD}]")
-    found = parts.withColumn("key", F.when(hurt, _loss_key(F.col("word")))).join(small_side(lexicon), "key", "left")
+    # no undamaged word has a key of the lexicon; a key of its own each keeps them from meeting in one task
+    whole = F.concat(F.lit("="), F.xxhash64("pool", "value", "at").cast("string"))
+    found = parts.withColumn("key", F.when(hurt, _loss_key(F.col("word"))).otherwise(whole)).join(small_side(lexicon), "key", "left")
     # a question mark by itself at the end of a text, or behind a word, is rightful unless a word is known that lost a letter there
     closing = F.col("last") & (F.col("word") == "?")
     lost = hurt & (F.col("word").rlike(r"\x{FFFD}|\?\p{L}") | (F.col("known").isNotNull() & ~closing))
