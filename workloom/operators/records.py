@@ -7,10 +7,12 @@ segments between quotes, in time linear in the length of a record, however long.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from workloom.runtime import small_side
+from workloom.runtime import cut, small_side
 
 DELIMITERS = ("\t", ",", ";", "|")
 _MARK, _KEPT_MARK, _KEPT_DELIMITER = "\x01", "\x010", "\x011"
@@ -121,11 +123,19 @@ def load_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     file_name and line_no together; repeated rows of one offset are alike in both results.
     """
     given = raw.select("line_id", "file_name", "year_month", "line_no", "raw_line")
-    headers = headers_of(given)
+    headers = cut(headers_of(given))  # one row a file
     taken = judged(given, headers).where("reason is null")
-    offsets = taken.select("line_id", "file_name", "line_no", F.lit(True).alias("taken"))
-    here, there = given.where("line_no is null or line_no <> 1").alias("r"), offsets.alias("t")
-    same = F.col("r.line_id").eqNullSafe(F.col("t.line_id")) & F.col("r.file_name").eqNullSafe(F.col("t.file_name")) & F.col("r.line_no").eqNullSafe(F.col("t.line_no"))
-    remainder = here.join(there, same, "left_anti")
+    # only offsets are subtracted; the few lines that are left are fetched afterwards
+    left = _matched(given.where("line_no is null or line_no <> 1").select(*_OFFSET), taken.select(*_OFFSET), "left_anti")
+    remainder = _matched(given, small_side(cut(left.distinct())), "left_semi")
     rejected = judged(remainder, headers).select("line_id", "file_name", "line_no", "raw_line", "reason")
     return typed(taken), rejected
+
+
+_OFFSET = ("line_id", "file_name", "line_no")
+
+
+def _matched(rows: DataFrame, offsets: DataFrame, how: str) -> DataFrame:
+    """The semi or anti join of rows with offsets; null offsets are equal."""
+    r, t = rows.alias("r"), offsets.alias("t")
+    return r.join(t, reduce(lambda x, y: x & y, (F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in _OFFSET)), how)
