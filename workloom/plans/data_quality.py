@@ -58,6 +58,23 @@ reasons AS (
 SELECT line_id, reason FROM reasons WHERE reason IS NOT NULL
 """
 
+_LOADED = (
+    ("job_title", "Job Title", "{}"), ("noc21_code", "NOC21 Code", "lpad(regexp_extract({}, '^[0-9]{{1,5}}'), 5, '0')"), ("noc21_code_name", "NOC21 Code Name", "{}"),
+    ("noc_2016_code", "NOC 2016 Code", "{}"), ("noc_2016_code_name", "NOC 2016 Code Name", "{}"), ("vacancy_count", "Vacancy Count", "CASE WHEN regexp_full_match({0}, '[+-]?[0-9]+') THEN TRY_CAST({0} AS INT) END"),
+    ("first_posting_date", "First Posting Date", "try_strptime({}, '%Y/%m/%d')::DATE"), ("salary_minimum", "Salary Minimum", "TRY_CAST({} AS DOUBLE)"), ("salary_maximum", "Salary Maximum", "TRY_CAST({} AS DOUBLE)"), ("salary_per", "Salary Per", "{}"),
+    ("province_territory", "Province/Territory", "{}"), ("city", "City", "{}"), ("employment_type", "Employment Type", "{}"), ("naics", "NAICS", "{}"),
+)
+_FIELDS_SQL = r"""CASE WHEN d = ',' THEN regexp_extract_all(',' || {0}, ',("(?:[^"]|"")*"|[^",]*)', 1) ELSE regexp_extract_all(chr(9) || {0}, '\t("(?:[^"]|"")*"|[^"\t]*)', 1) END"""
+_VALUE_SQL = """nullif(trim(CASE WHEN starts_with(fields[at_{0}], '"') THEN replace(fields[at_{0}][2:-2], '""', '"') ELSE fields[at_{0}] END), '')"""
+P2_LOADED_SQL = (
+    P2_SQL.replace("SELECT line_id, reason FROM reasons WHERE reason IS NOT NULL", "").replace("SELECT file_name, CASE", "SELECT file_name, raw_line AS head, CASE")
+    + f""", named AS (SELECT file_name, d, list_transform({_FIELDS_SQL.format("replace(head, chr(65279), '')")}, lambda x: trim(replace(x, '"', ''))) AS names FROM header),
+places AS (SELECT file_name, d, {", ".join(f"list_position(names, '{name}') AS at_{column}" for column, name, _ in _LOADED)} FROM named),
+split AS (SELECT r.*, p.* EXCLUDE (file_name, d), {_FIELDS_SQL.format("raw_line")} AS fields FROM job_bank_raw r JOIN reasons USING (line_id) JOIN places p USING (file_name) WHERE reason IS NULL),
+texts AS (SELECT line_id, file_name, year_month, line_no, {", ".join(f"{_VALUE_SQL.format(column)} AS {column}" for column, _, _ in _LOADED)} FROM split)
+SELECT line_id, file_name, year_month, line_no, {", ".join(f"{sql.format(column)} AS {column}" for column, _, sql in _LOADED)} FROM texts"""
+)
+
 _UNIT_SQL = r"""CASE
   WHEN regexp_matches({x}, 'hour|\bhrs?\b|heure|/ ?h\b') THEN CASE WHEN regexp_matches({x}, '¢|\bcents?\b|[0-9]c\b') THEN 'CENTHOUR' ELSE 'HOUR' END
   WHEN regexp_matches({x}, 'bi-?we?e?kl?y?|two weeks|2 weeks|fortnight|deux semaines') THEN 'BIWEEK'
@@ -81,4 +98,4 @@ SELECT DISTINCT row_id, amount_field, unit_code FROM known WHERE unit_code <> 'H
 """
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_loaded, p4_found, p4_hourly)}
-SQL = {"p2_found": P2_SQL, "p4_found": P4_SQL}
+SQL = {"p2_found": P2_SQL, "p2_loaded": P2_LOADED_SQL, "p4_found": P4_SQL}
