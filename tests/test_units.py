@@ -15,7 +15,7 @@ def run(spark, rows, **more):
     return {(r.row_id, r.amount_field): r for r in units.to_hourly(df, lookup, **more).collect()}
 
 
-@pytest.mark.parametrize("text,amount", [("$1,000.18", 1000.18), ("134,15", 134.15), ("1 018,17 par an", 1018.17), ("CAD 49,5", 49.5), ("101,800", 101800.0), ("1450¢/hr", 1450.0), ("TBD", None), ("", None), (None, None), ("1160.00/2 weeks", 1160.0), ("1 234 567,8", 1234567.8)])
+@pytest.mark.parametrize("text,amount", [("$1,000.18", 1000.18), ("134,15", 134.15), ("1 018,17 par an", 1018.17), ("CAD 49,5", 49.5), ("101,800", 101800.0), ("1450¢/hr", 1450.0), ("TBD", None), ("", None), (None, None), ("1160.00/2 weeks", 1160.0), ("1 234 567,8", 1234567.8), ("52\u202f000\u00a0$ / an", 52000.0), ("c$ 1,234.50 weekly", 1234.5)])
 def test_amounts(spark, text, amount):
     df = spark.createDataFrame([(text,)], "x string")
     assert df.select(units.read_amount(units.plain_text(F.col("x")))).first()[0] == amount
@@ -30,6 +30,11 @@ def test_units(spark, text, unit):
     assert df.select(units.read_unit(units.plain_text(F.col("x")))).first()[0] == unit
 
 
+def test_signs_of_currency_are_no_cents(spark):
+    got = run(spark, [("c$52,000 a year", "CAD 25 / hour", None), ("c$1,200", None, "weekly")])
+    assert [got[k].unit_code for k in ((0, "minimum"), (0, "maximum"), (1, "minimum"))] == ["YEAR", "HOUR", "WEEK"]
+
+
 def test_precedence_and_conversion(spark):
     got = run(spark, [("2000 weekly", "100", "Year"), ("100", "52000 per annum", "other"), ("1450c an hour", None, None), ("TBD", "-", "Hour"), ("25", None, None)])
     assert (got[0, "minimum"].unit_code, got[0, "minimum"].assigned_by, got[0, "minimum"].hourly) == ("WEEK", "amount", 50.0)

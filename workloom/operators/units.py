@@ -36,32 +36,58 @@ UNIT_WORDS = (
 THOUSANDS = r"thousand|000s|x ?1000|k ?\$|\bk\b|(?<=[0-9])k\b|milliers"
 CENTS = r"¢|\bcents?\b|\bc\b|(?<=[0-9])c\b"
 
-_NUMBER = r"[0-9]{1,3}(?:[ ,  ][0-9]{3})+(?:[.,][0-9]+)?(?![0-9])|[0-9]+(?:[.,][0-9]+)?"
+_NUMBER = r"[0-9]{1,3}(?:[ ,][0-9]{3})+(?:[.,][0-9]+)?(?![0-9])|[0-9]+(?:[.,][0-9]+)?"
+#: White space other than a blank.
+_BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def plain_text(text: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(text, r"(?U)[\s  ]+", " ")))
+    """In lower case and trimmed, each run of white space one blank."""
+    return F.lower(F.trim(F.regexp_replace(F.translate(text, _BLANKS, " " * len(_BLANKS)), r" {2,}", " ")))
+
+
+def first_number(text: Column) -> Column:
+    """The first number of the text as it is written; empty if there is none."""
+    return F.regexp_extract(text, _NUMBER, 0)
+
+
+def amount_of(number: Column) -> Column:
+    """The value of a number; a comma or blank before exactly three digits groups, another comma is a decimal one."""
+    bare = F.replace(number, F.lit(" "), F.lit(""))
+    grouped = F.when(F.contains(bare, F.lit(",")), F.regexp_replace(F.regexp_replace(bare, r",(?=[0-9]{3}(?:[.,]|$))", ""), ",", ".")).otherwise(bare)
+    return grouped.try_cast("double")
 
 
 def read_amount(text: Column) -> Column:
-    """The first number of the text; a comma or blank before exactly three digits groups, another comma is a decimal one."""
-    number = F.regexp_replace(F.regexp_extract(text, _NUMBER, 0), r"[   ]", "")
-    grouped = F.regexp_replace(number, r",(?=[0-9]{3}(?:[.,]|$))", "")
-    return F.regexp_replace(grouped, ",", ".").try_cast("double")
+    return amount_of(first_number(text))
 
 
-def read_unit(phrase: Column) -> Column:
-    """The code of the unit and scale written in the phrase, null if there is none."""
+def _base(phrase: Column) -> Column:
+    """The unit written in the phrase, whatever its scale."""
     base = F.lit(None).cast("string")
     for code, words in reversed(UNIT_WORDS):
         base = F.when(phrase.rlike(words), code).otherwise(base)
+    return F.when(phrase.rlike(r"[^0 $]"), base)
+
+
+def _scaled(base: Column, phrase: Column) -> Column:
+    """The code of the unit with the scale written in the phrase; null for a scale that the unit doesn't have."""
     thousands, cents = phrase.rlike(THOUSANDS), phrase.rlike(CENTS)
-    return F.when(cents & (base == "HOUR"), "CENTHOUR").when(thousands & base.isin("YEAR", "MONTH"), F.concat(F.lit("K"), base)).when(~cents & ~thousands, base)
+    plain = F.when(~thousands & ~cents, base)
+    return F.when(base == "HOUR", F.when(cents, "CENTHOUR").otherwise(plain)).when(base.isin("YEAR", "MONTH"), F.when(thousands, F.concat(F.lit("K"), base)).otherwise(plain)).when(base.isNotNull(), plain)
+
+
+def read_unit(phrase: Column) -> Column:
+    """The code of the unit and scale written in the phrase, null if there is none."""
+    return _scaled(_base(phrase), phrase)
 
 
-def beside_amount(text: Column) -> Column:
-    """What stands beside the number, with a digit kept in front of a scale that is glued to it."""
-    return F.regexp_replace(F.regexp_replace(text, rf"^(?:cad|\$|c\$|\s)*(?:{_NUMBER})", "0"), r"cad", "")
+def beside_amount(text: Column, number: Column) -> Column:
+    """What stands beside the first number, without signs of currency, a digit kept in front of a scale that is glued to it."""
+    at = F.instr(text, number)
+    before = F.substring(text, F.lit(1), at - 1)
+    ahead = F.when(before != "", F.regexp_replace(before, r"(?:cad|\$|c\$|\s)+$", "")).otherwise(before)
+    return F.replace(F.concat(ahead, F.lit("0"), F.substring(text, at + F.length(number), F.length(text))), F.lit("cad"), F.lit(""))
 
 
 def _features(long: DataFrame) -> DataFrame:
@@ -82,16 +108,20 @@ _FEATURES = ["f_amount", "f_other", "f_ratio", "f_cents", "f_round", "f_major",
 
 def written_units(postings: DataFrame, row_id: str, minimum: str, maximum: str, per: str, category: str, kind: str, source: str) -> DataFrame:
     """One row per amount: row_id, amount_field, amount, unit_code and assigned_by (amount, salary_per, other_amount or null)."""
-    texts = postings.select(F.col(row_id).alias("row_id"), *(plain_text(F.col(c)).alias(n) for c, n in ((minimum, "low"), (maximum, "high"), (per, "per"))), *(F.col(c).cast("string").alias(n) for c, n in ((category, "category"), (kind, "kind"), (source, "source"))))
-    read = texts.select(
-        "row_id", "category", "kind", "source", read_unit(F.col("per")).alias("per_unit"),
-        *(F.struct(F.lit(n).alias("amount_field"), read_amount(F.col(c)).alias("amount"), F.when(read_amount(F.col(c)).isNotNull(), read_unit(beside_amount(F.col(c)))).alias("unit")).alias(c) for c, n in (("low", "minimum"), ("high", "maximum"))),
-    )
-    both = F.explode(F.array(F.struct(F.col("low").alias("own"), F.col("high").alias("other")), F.struct(F.col("high").alias("own"), F.col("low").alias("other")))).alias("x")
-    long = read.select("row_id", "category", "kind", "source", "per_unit", both).where("x.own.amount is not null")
+    told = ((category, "category"), (kind, "kind"), (source, "source"))
+    sides = (("low", minimum), ("high", maximum))
+    kept = ["row_id", *(n for _, n in told)]
+    # a projection for each step: what is used more than once is worked out once
+    texts = postings.select(F.col(row_id).alias("row_id"), *(F.col(c).cast("string").alias(n) for c, n in told), plain_text(F.col(per)).alias("per"), *(plain_text(F.col(c)).alias(n) for n, c in sides))
+    numbers = texts.select(*kept, "per", *(n for n, _ in sides), _base(F.col("per")).alias("per_base"), *(first_number(F.col(n)).alias(f"{n}_number") for n, _ in sides))
+    amounts = numbers.select(*kept, "per", "per_base", *(amount_of(F.col(f"{n}_number")).alias(f"{n}_amount") for n, _ in sides), *(F.when(F.col(f"{n}_number") != "", beside_amount(F.col(n), F.col(f"{n}_number"))).alias(f"{n}_phrase") for n, _ in sides))
+    bases = amounts.select(*kept, "per", "per_base", *(f"{n}_{x}" for n, _ in sides for x in ("amount", "phrase")), *(_base(F.col(f"{n}_phrase")).alias(f"{n}_base") for n, _ in sides))
+    read = bases.select(*kept, _scaled(F.col("per_base"), F.col("per")).alias("per_unit"), *(F.struct(F.col(f"{n}_amount").alias("amount"), F.when(F.col(f"{n}_amount").isNotNull(), _scaled(F.col(f"{n}_base"), F.col(f"{n}_phrase"))).alias("unit")).alias(n) for n, _ in sides))
+    both = F.explode(F.array(F.struct(F.lit("minimum").alias("field"), F.col("low").alias("own"), F.col("high").alias("other")), F.struct(F.lit("maximum").alias("field"), F.col("high").alias("own"), F.col("low").alias("other")))).alias("x")
+    long = read.select(*kept, "per_unit", both).where("x.own.amount is not null")
     own, other = F.col("x.own.unit"), F.col("x.other.unit")
     return long.select(
-        "row_id", "category", "kind", "source", F.col("x.own.amount_field").alias("amount_field"), F.col("x.own.amount").alias("amount"), F.col("x.other.amount").alias("other_amount"),
+        *kept, F.col("x.field").alias("amount_field"), F.col("x.own.amount").alias("amount"), F.col("x.other.amount").alias("other_amount"),
         F.coalesce(own, "per_unit", other).alias("unit_code"),
         F.when(own.isNotNull(), "amount").when(F.col("per_unit").isNotNull(), "salary_per").when(other.isNotNull(), "other_amount").alias("assigned_by"),
     )
