@@ -29,6 +29,12 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hourly(spark, sf_dir).where(written & (F.col("unit_code") != "HOUR")).select("row_id", "amount_field", "unit_code").distinct()
 
 
+def p4_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The amounts with a written unit, in dollars per hour: the rows of p4_hourly that SQL can give."""
+    written = F.col("assigned_by").isin("amount", "salary_per", "other_amount")
+    return _hourly(spark, sf_dir).where(written).select("row_id", "amount_field", "amount", "unit_code", "assigned_by", F.round("hourly", 6).alias("hourly"))
+
+
 def p4_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every amount in dollars per hour, units predicted where none is written, uncertain ones for review."""
     return _hourly(spark, sf_dir).select("row_id", "amount_field", "amount", "unit_code", "assigned_by", F.round("confidence", 4).alias("confidence"), F.round("hourly", 4).alias("hourly"))
@@ -84,6 +90,12 @@ _UNIT_SQL = r"""CASE
   WHEN regexp_matches({x}, 'year|\byr\b|\bannu|\ban\b|p\.a\.') THEN CASE WHEN regexp_matches({x}, 'thousand|000s|x1000|k\$|[0-9]k\b') THEN 'KYEAR' ELSE 'YEAR' END
 END"""
 
+_RUN_SQL = "regexp_extract({x}, '[0-9][0-9 ,.]*')"
+_WHOLE_SQL = f"regexp_extract({_RUN_SQL}, '^[0-9]{{{{1,3}}}}(?:[ ,][0-9]{{{{3}}}})+')"
+#: Thousands that a blank or comma groups, with what follows as decimals, else the first number as it is.
+_AMOUNT_SQL = f"""TRY_CAST(CASE WHEN {_WHOLE_SQL} <> '' THEN regexp_replace({_WHOLE_SQL}, '[ ,]', '', 'g') || replace(regexp_extract(substr({_RUN_SQL}, length({_WHOLE_SQL}) + 1), '^[.,][0-9]+'), ',', '.')
+  ELSE replace(regexp_extract({_RUN_SQL}, '^[0-9]+(?:[.,][0-9]+)?'), ',', '.') END AS DOUBLE)"""
+
 P4_SQL = f"""
 WITH texts AS (
   SELECT row_id, lower(trim(salary_minimum)) AS low, lower(trim(salary_maximum)) AS high, lower(trim(salary_per)) AS per FROM job_bank_csv),
@@ -97,5 +109,20 @@ known AS (
 SELECT DISTINCT row_id, amount_field, unit_code FROM known WHERE unit_code <> 'HOUR'
 """
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_loaded, p4_found, p4_hourly)}
-SQL = {"p2_found": P2_SQL, "p2_loaded": P2_LOADED_SQL, "p4_found": P4_SQL}
+P4_WRITTEN_SQL = f"""
+WITH texts AS (
+  SELECT row_id, lower(trim(salary_minimum)) AS low, lower(trim(salary_maximum)) AS high, lower(trim(salary_per)) AS per FROM job_bank_csv),
+read AS (
+  SELECT row_id, {_AMOUNT_SQL.format(x="low")} AS low, {_AMOUNT_SQL.format(x="high")} AS high,
+    {_UNIT_SQL.format(x="low")} AS u_low, {_UNIT_SQL.format(x="high")} AS u_high, {_UNIT_SQL.format(x="per")} AS u_per FROM texts),
+sides AS (
+  SELECT row_id, 'minimum' AS amount_field, low AS amount, u_low AS own, u_per, CASE WHEN high IS NOT NULL THEN u_high END AS other FROM read WHERE low IS NOT NULL
+  UNION ALL
+  SELECT row_id, 'maximum', high, u_high, u_per, CASE WHEN low IS NOT NULL THEN u_low END FROM read WHERE high IS NOT NULL)
+SELECT row_id, amount_field, amount, unit_code, CASE WHEN own IS NOT NULL THEN 'amount' WHEN u_per IS NOT NULL THEN 'salary_per' ELSE 'other_amount' END AS assigned_by,
+  round(amount * dollars_per_amount / hours_per_unit, 6) AS hourly
+FROM (SELECT *, coalesce(own, u_per, other) AS unit_code FROM sides) JOIN pay_units USING (unit_code)
+"""
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_loaded, p4_found, p4_written, p4_hourly)}
+SQL = {"p2_found": P2_SQL, "p2_loaded": P2_LOADED_SQL, "p4_found": P4_SQL, "p4_written": P4_WRITTEN_SQL}
