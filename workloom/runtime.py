@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 #: Bytes of them, as JSON, up to which it may be.
 BROADCAST_BYTES = 64 << 20
+#: Rows of a group up to which one task numbers them.
+HOT_GROUP_ROWS = 1_000_000
 
 
 def local_session(name: str = "workloom", cores: str = "8", **conf: str) -> SparkSession:
@@ -67,15 +69,42 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: a lineage cut that survives lost executors.
 
-    The files are deleted when the driver's Python ends.
+    partition_by: columns by whose values the files are kept apart, so that a filter on them reads its own only. The
+    files are deleted when the driver's Python ends, or by release().
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/workloom-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    _forget(spark, path)
+    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    _WRITTEN.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: The folders that cut() wrote.
+_WRITTEN: list[tuple[SparkSession, str]] = []
+
+
+def release() -> None:
+    """Deletes the files of all cuts so far, for long sessions; DataFrames made with them can't be read any more."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is such a file or folder, on whatever file system the path names."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    try:
+        release()
+    except Exception:  # the JVM is gone already
+        pass
+
+
 def ranked(df: DataFrame, *order: str, rank: str = "rank") -> DataFrame:
     """df with its row numbers from 1 in the order of the columns, which must be a total one.
 
@@ -88,22 +117,26 @@ def ranked(df: DataFrame, *order: str, rank: str = "rank") -> DataFrame:
     return ranged.join(F.broadcast(before), "_range").withColumn(rank, own + F.col("_before")).drop("_range", "_before")
 
 
-def ranked_within(df: DataFrame, group: tuple[str, ...], order: tuple[str, ...], rank: str = "rank", size: str = "size") -> DataFrame:
-    """df with row numbers from 1 within each group, and the size of the group; hot groups are split like others."""
-    numbered = ranked(df, *group, *order, rank="_at")
-    groups = numbered.groupBy(*(F.col(g).alias(f"_g_{g}") for g in group)).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias(size))
-    same = reduce(lambda x, y: x & y, (numbered[g].eqNullSafe(F.col(f"_g_{g}")) for g in group))
-    joined = numbered.join(small_side(cut(groups)), same)
-    return joined.withColumn(rank, F.col("_at") - F.col("_first") + 1).drop("_at", "_first", *(f"_g_{g}" for g in group))
-
+def ranked_within(df: DataFrame, group: tuple[str, ...], order: tuple[str, ...], rank: str = "rank", size: str = "size", hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """df with row numbers from 1 within each group, and the size of the group.
 
-def _forget(spark: SparkSession, path: str) -> None:
-    def delete() -> None:
-        try:
-            jvm = spark.sparkContext._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-        except Exception:  # the JVM is gone already
-            pass
-
-    atexit.register(delete)
+    Groups of up to hot_rows rows are numbered by one window; larger ones are dealt to ranges of their order, so
+    that no task holds one whole. The numbers are the same both ways, as the order is a total one.
+    """
+    within = W.partitionBy(*group)
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = sizes.select(*(F.col(g).alias(f"_g_{g}") for g in group), "_n")
+    if hot.isEmpty():
+        return df.withColumns({rank: F.row_number().over(within.orderBy(*order)).cast("long"), size: F.count(F.lit(1)).over(within)})
+    hot = cut(hot)
+    side = small_side(hot)
+
+    def is_hot(rows: DataFrame, how: str) -> DataFrame:
+        return rows.join(side, reduce(lambda x, y: x & y, (rows[g].eqNullSafe(F.col(f"_g_{g}")) for g in group)), how)
+
+    few = is_hot(df, "left_anti").withColumns({rank: F.row_number().over(within.orderBy(*order)).cast("long"), size: F.count(F.lit(1)).over(within)})
+    numbered = ranked(is_hot(df, "left_semi"), *group, *order, rank="_at")
+    firsts = small_side(cut(numbered.groupBy(*(F.col(g).alias(f"_f_{g}") for g in group)).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias(size))))
+    same = reduce(lambda x, y: x & y, (numbered[g].eqNullSafe(F.col(f"_f_{g}")) for g in group))
+    many = numbered.join(firsts, same).withColumn(rank, F.col("_at") - F.col("_first") + 1)
+    return few.unionByName(many.select(*df.columns, rank, size))
