@@ -65,23 +65,38 @@ def valid_skills(skills: Column) -> Column:
 
 
 def validated(answers: DataFrame) -> DataFrame:
-    """batch_id, job_id, noc_title, seniority, skills of answers (batch_id, response), one row per result with a job id."""
-    each = answers.select("batch_id", F.explode(parse(F.col("response"))).alias("r")).where("r.job_id is not null")
+    """batch_id, job_id, position, noc_title, seniority, skills of answers (batch_id, response), one row per result with a job id; position is its place in the response."""
+    each = answers.select("batch_id", F.posexplode(parse(F.col("response"))).alias("position", "r")).where("r.job_id is not null")
     tier = F.when(F.col("r.seniority").isin(*S.TIERS), F.col("r.seniority"))
-    return each.select("batch_id", F.col("r.job_id").alias("job_id"), F.when(F.col("r.noc_title") != "null", F.col("r.noc_title")).alias("noc_title"), tier.alias("seniority"), valid_skills(F.col("r.skills")).alias("skills"))
+    return each.select("batch_id", F.col("r.job_id").alias("job_id"), "position", F.when(F.col("r.noc_title") != "null", F.col("r.noc_title")).alias("noc_title"), tier.alias("seniority"), valid_skills(F.col("r.skills")).alias("skills"))
 
 
 def merge(rows: DataFrame, results: DataFrame, occupations: DataFrame, matched: bool, respect_existing: bool = False) -> DataFrame:
     """rows (batch_id, job_id, noc_id, noc_match_method, seniority) with the results' occupation, seniority and skills.
 
     Batches without any result are left out, to be run again; a single row without one keeps what it has, with
-    no skills. Matched rows keep their occupation. The result's seniority counts first, unless respect_existing.
-    occupations: id, name; of ids that share a name, the last.
+    no skills. Of several results of a posting in its batch the last counts, as a whole (of several responses of
+    a batch, the one with the greatest content at the last place). Matched rows keep their occupation. The
+    result's seniority counts first, unless respect_existing. occupations: id, name; of ids that share a name,
+    the last.
     """
-    known = occupations.groupBy(F.col("name").alias("noc_title")).agg(F.max("id").alias("new_noc"))
-    found = results.join(small_side(known), "noc_title", "left").groupBy("batch_id", "job_id").agg(*(F.max_by(c, "noc_title").alias(c) if c == "new_noc" else F.first(c).alias(c) for c in ("new_noc",)), F.first(F.col("seniority")).alias("new_tier"), F.first("skills").alias("skills"))
+    known = occupations.where("name is not null").groupBy(F.col("name").alias("noc_title")).agg(F.max("id").alias("new_noc"))
+    last = F.max_by(F.struct("noc_title", "seniority", "skills"), F.struct("position", "noc_title", "seniority", F.to_json("skills"))).alias("r")
+    found = results.groupBy("batch_id", "job_id").agg(last).select("batch_id", "job_id", "r.noc_title", F.col("r.seniority").alias("new_tier"), "r.skills").join(small_side(known), "noc_title", "left").drop("noc_title")
     answered = rows.join(results.select("batch_id").distinct(), "batch_id", "left_semi").join(found, ["batch_id", "job_id"], "left")
     tier = F.coalesce("seniority", "new_tier") if respect_existing else F.coalesce("new_tier", "seniority")
     noc = F.col("noc_id") if matched else F.coalesce("new_noc", "noc_id")
     method = F.col("noc_match_method") if matched else F.when(F.col("new_noc").isNotNull(), "llm_noc_match").otherwise(F.col("noc_match_method"))
     return answered.select("batch_id", "job_id", noc.alias("noc_id"), method.alias("noc_match_method"), tier.alias("seniority"), F.coalesce("skills", F.array().cast(SKILLS)).alias("skills"))
+
+
+def progress(merged: DataFrame, matched: bool) -> DataFrame:
+    """name, type, rows, matched, with_skills: a record of each merged batch, as sessions leave them behind."""
+    kind = F.lit("matched" if matched else "unmatched").alias("type")
+    return merged.groupBy(F.col("batch_id").alias("name")).agg(F.count(F.lit(1)).alias("rows"), F.count("noc_id").alias("matched"), F.count_if(F.size("skills") > 0).alias("with_skills")).select("name", kind, "rows", "matched", "with_skills")
+
+
+def progress_sums(records: DataFrame) -> DataFrame:
+    """type, batches, rows, matched, with_skills: the sums of progress records by type."""
+    sums = (F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", "matched", "with_skills"))
+    return records.groupBy("type").agg(F.count(F.lit(1)).alias("batches"), *sums)

@@ -9,17 +9,21 @@ from workloom.functions import scalars as S
 from workloom.runtime import small_side
 
 
-def explode_skills(df: DataFrame, job: str = "job_id", skills: str = "skills") -> DataFrame:
-    """job_id, skill, category: distinct, trimmed, both non-empty."""
-    each = df.select(F.col(job).alias("job_id"), F.explode(skills).alias("s"))
-    clean = each.select("job_id", F.trim("s.name").alias("skill"), F.trim("s.category").alias("category"))
-    return clean.where("skill <> '' and category <> ''").dropDuplicates(["job_id", "skill", "category"])
+def explode_skills(df: DataFrame, job: str = "job_id", skills: str = "skills", position: bool = False) -> DataFrame:
+    """job_id, skill, category: distinct, trimmed, both non-empty; position: with the first place of each in its lists too."""
+    each = df.select(F.col(job).alias("job_id"), F.posexplode(skills).alias("position", "s"))
+    clean = each.select("job_id", F.trim("s.name").alias("skill"), F.trim("s.category").alias("category"), "position").where("skill <> '' and category <> ''")
+    key = ("job_id", "skill", "category")
+    return clean.groupBy(*key).agg(F.min("position").alias("position")) if position else clean.select(*key).distinct()
 
 
 def majority_category(rows: DataFrame, skill: str = "skill", category: str = "category", ordinal: str = "ordinal") -> DataFrame:
-    """skill, category, votes, n_categories, total_votes: the category of most rows, the one seen first at ties; total_votes are those of all categories."""
+    """skill, category, votes, n_categories, total_votes: the category of most rows, the one seen first at ties; total_votes are those of all categories.
+
+    ordinal: a number or a struct of numbers by which rows come; where even the first ones tie, the lesser category wins.
+    """
     votes = rows.groupBy(F.col(skill).alias("skill"), F.col(category).alias("category")).agg(F.count(F.lit(1)).alias("votes"), F.min(ordinal).alias("first"))
-    best = F.max_by(F.struct("category", "votes"), F.struct(F.col("votes"), -F.col("first")))
+    best = F.min_by(F.struct("category", "votes"), F.struct(-F.col("votes"), F.col("first"), F.col("category")))
     found = votes.groupBy("skill").agg(best.alias("best"), F.count(F.lit(1)).alias("n_categories"), F.sum("votes").alias("total_votes"))
     return found.select("skill", F.col("best.category").alias("category"), F.col("best.votes").alias("votes"), "n_categories", "total_votes")
 

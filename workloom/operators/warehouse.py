@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from workloom.functions import scalars as S
-from workloom.runtime import ranked, small_side
+from workloom.runtime import exists, ranked, small_side
 
 
 def numbered(names: DataFrame, key: str, start: int = 0) -> DataFrame:
@@ -43,6 +43,21 @@ def insert_absent(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return target.unionByName(rows.join(target.select(key), key, "left_anti").dropDuplicates([key]).select(*target.columns))
 
 
+def seed_once(spark: SparkSession, rows: DataFrame, target: str) -> bool:
+    """Writes rows to target unless it has rows already; whether it wrote."""
+    if exists(spark, target) and not spark.read.parquet(target).isEmpty():
+        return False
+    rows.write.mode("overwrite").parquet(target)
+    return True
+
+
+def split_checkpoints(rows: DataFrame, key: str = "job_id", order: str = "file", method: str = "noc_match_method") -> tuple[DataFrame, DataFrame]:
+    """(matched, unmatched) of old checkpoint rows: the last of each key counts, matched are those that the embeddings matched."""
+    last = first_wins(rows.where(F.col(key).isNotNull()), key, F.desc(order))
+    is_matched = F.col(method).eqNullSafe(F.lit("sentence_transformer"))
+    return last.where(is_matched), last.where(~is_matched)
+
+
 def first_wins(rows: DataFrame, key: str, *order) -> DataFrame:
     """One row per key: the first in the order."""
     return rows.withColumn("_rn", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("_rn = 1").drop("_rn")

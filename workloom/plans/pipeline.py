@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from workloom.functions import scalars as S
 from workloom.operators import enrich, matching, packing, postings, quality, skills, warehouse
-from workloom.runtime import cut, small_side
+from workloom.runtime import cut, exists
 from workloom.sources import files
 
 #: Columns of raw postings that the skill pipeline uses.
@@ -37,6 +37,8 @@ class Config:
     #: 0: until all batches are done.
     max_sessions: int = 0
     partitions: int = 16
+    #: Seconds between sessions.
+    cooldown_s: float = 0
 
     def __post_init__(self) -> None:
         if not 0 <= self.threshold <= 1:
@@ -90,39 +92,48 @@ def enriched(spark: SparkSession, df: DataFrame, occupations: DataFrame, complet
 
     Results are appended to store session by session; a later run asks only for batches with open postings, so
     a run that broke off, or a batch without a usable answer, is taken up again. Of several results of a
-    posting the first session's counts.
+    posting the first session's counts. A record of each batch goes to progress_store(store).
     """
     named = occupations.select("id", F.col("noc21_name").alias("name"))
     schema = "session_no int, job_id bigint, noc_id int, noc_match_method string, seniority string, skills array<struct<name:string,category:string>>"
     done_before = _stored(spark, store, schema)
     first_session = done_before.agg(F.coalesce(F.max("session_no") + 1, F.lit(0))).first()[0]
     keyed = cut(df.select(F.col("company_name").alias("company"), F.col("noc_id").alias("noc"), F.col("job_id").alias("ord"), F.col("job_id").alias("id")))
+    done_ids = done_before.select(F.col("job_id").alias("id"))
     for matched, size in ((True, config.matched_batch), (False, config.unmatched_batch)):
         own = keyed.where(F.col("noc").isNotNull() if matched else F.col("noc").isNull())
-        made = packing.batches(packing.pack_matched(own, size) if matched else packing.pack_unmatched(own, size))
-        open_batches = cut(packing.sessions(packing.undone(made, done_before.select(F.col("job_id").alias("id"))), config.batches_per_session))
-        n_sessions = open_batches.agg(F.coalesce(F.max("session_no") + 1, F.lit(0))).first()[0]
+        made = cut(packing.batches(packing.pack_matched(own, size) if matched else packing.pack_unmatched(own, size)))
+        open_batches = packing.sessions(packing.undone(made, done_ids), config.batches_per_session)
+        # the postings are laid out by session once, so that a session reads its own files only
+        waiting = cut(open_batches.select("session_no", "batch_id", F.explode("ids").alias("job_id")).join(df, "job_id"), "session_no")
+        n_sessions = waiting.agg(F.coalesce(F.max("session_no") + 1, F.lit(0))).first()[0]
         for session in range(n_sessions if not config.max_sessions else min(n_sessions, config.max_sessions)):
-            rows = open_batches.where(F.col("session_no") == session).select("batch_id", F.explode("ids").alias("job_id")).join(df, "job_id")
+            rows = waiting.where(F.col("session_no") == session)
             asked = enrich.prompts(rows.withColumnRenamed("company_name", "company"), None if matched else named)
             answers = cut(enrich.complete(asked.repartition(config.partitions), completion))
-            merged = enrich.merge(rows.select("batch_id", "job_id", "noc_id", "noc_match_method", "seniority"), enrich.validated(answers), named, matched)
+            merged = cut(enrich.merge(rows.select("batch_id", "job_id", "noc_id", "noc_match_method", "seniority"), enrich.validated(answers), named, matched))
             merged.select(F.lit(first_session + session).alias("session_no"), *[c.split()[0] for c in schema.split(", ")[1:]]).write.mode("append").parquet(store)
+            enrich.progress(merged, matched).select(F.lit(first_session + session).alias("session_no"), "*").write.mode("append").parquet(progress_store(store))
+            if config.cooldown_s and session + 1 < n_sessions:
+                time.sleep(config.cooldown_s)
         first_session += n_sessions
     results = warehouse.first_wins(_stored(spark, store, schema), "job_id", "session_no").drop("session_no")
     return df.drop("noc_id", "noc_match_method", "seniority").join(results, "job_id")
 
 
+def progress_store(store: str) -> str:
+    """Where the progress records of a store are: session_no, name, type, rows, matched, with_skills."""
+    return store.rstrip("/") + "-progress"
+
+
 def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    if path.startswith("/") and not os.path.isdir(path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def star_schema(df: DataFrame, occupations: DataFrame) -> dict[str, DataFrame]:
     """Step 4: the tables of the star schema of complete enriched postings, checked by the gates."""
     kept = cut(postings.complete(quality.assert_unique(df, "job_id"), "noc_id", "skills", "seniority"))
-    rows = skills.explode_skills(kept).withColumn("ordinal", F.col("job_id"))
+    rows = skills.explode_skills(kept, position=True).withColumn("ordinal", F.struct("job_id", "position"))
     clean = cut(skills.normalise_skills(rows))
     companies, tiers = warehouse.dim_of(kept, "company_name"), warehouse.dim_seniority(df.sparkSession)
     names = warehouse.numbered(clean.select(F.col("skill").alias("name"), "category").distinct(), "name")
