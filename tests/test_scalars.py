@@ -53,6 +53,11 @@ def test_hash_names_and_masks(spark):
     assert value(spark, S.mask_secret(F.col("n")), n=("postgresql://me:pw@h/db password=x", "string")) == "postgresql://me:***@h/db password=***"
 
 
-@pytest.mark.parametrize("name,single", [("communications", "communication"), ("strategies", "strategy"), ("sales", "sales"), ("boxes", "box"), ("analysis", "analysis"), ("css", "css"), ("process", "process"), (None, None)])
+def test_nan_counts_as_the_default(spark):
+    for given, want in ((float("nan"), 7.0), (None, 7.0), (2.5, 2.5)):
+        assert value(spark, S.not_nan(F.col("n"), F.lit(7.0)), n=(given, "double")) == want
+
+
+@pytest.mark.parametrize("name,single", [("communications", "communication"), ("strategies", "strategy"), ("sales", "sales"), ("boxes", "box"), ("analysis", "analysis"), ("css", "css"), ("process", "process"), (None, None), ("data analyses", "data analysis"), ("team people", "team person"), ("criteria", "criterion"), ("shelves", "shelf"), ("knives", "knife"), ("potatoes", "potato"), ("matrices", "matrix"), ("viruses", "virus"), ("movies", "movie"), ("databases", "database"), ("news", "news"), ("craftsmen", "craftsman"), ("machines", "machine"), ("shoes", "shoe")])
 def test_singular(spark, name, single):
     assert value(spark, S.singular(F.col("n")), n=(name, "string")) == single

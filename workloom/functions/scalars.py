@@ -39,6 +39,17 @@ KEPT_PLURALS = (
     "sales", "operations", "logistics", "analytics", "economics", "mathematics", "statistics", "physics", "electronics", "robotics", "dynamics", "graphics", "ceramics", "genetics", "orthotics",
     "prosthetics", "diagnostics", "informatics", "bioinformatics",
 )
+#: Endings of English plurals and what they become, from the rarest.
+PLURALS = (
+    (r"(?i)\bpeople$", "person"), (r"(?i)\b(wo)?men$", "$1man"), (r"(?i)(sales|crafts|trades|fore)men$", "$1man"), (r"(?i)\bchildren$", "child"), (r"(?i)\bfeet$", "foot"), (r"(?i)\bteeth$", "tooth"), (r"(?i)\bmice$", "mouse"), (r"(?i)\bgeese$", "goose"),
+    (r"(?i)\b(criteri|phenomen)a$", "$1on"), (r"(?i)\b(dat|medi|curricul|memorand|spectr|bacteri)a$", "$1um"), (r"(?i)\b(ind|vert|ap)ices$", "$1ex"), (r"(?i)\b(matr|append)ices$", "$1ix"), (r"(?i)\b(stimul|nucle|foc|radi|alumn)i$", "$1us"),
+    (r"(?i)(analy|hypothe|the|synthe|paraly|cri|diagno|progno|parenthe|oa)ses$", "$1sis"), (r"(?i)\baxes$", "axis"),
+    (r"(?i)\b(kni|wi|li)ves$", "$1fe"), (r"(?i)(shel|hal|cal|lea|loa|sel|wol|el|thie|shea)ves$", "$1f"),
+    (r"(?i)\b(serie|specie)s$", "$1s"), (r"(?i)\bnews$", "news"), (r"(?i)\b(mov|cook|calor|pixie|t|p|l|d|sm|gen|budg|rook|zomb|self|brown|hood|sort)ies$", "$1ie"), (r"(?i)([^aeiou])ies$", "$1y"), (r"(?i)(qu)ies$", "$1y"),
+    (r"(?i)\b(tomat|potat|her|ech|vet|carg|torped|embarg)oes$", "$1o"),
+    (r"(?i)(ss|sh|[^aeiou]ch|[aeiou]tch|[aeiou]ch|x|zz)es$", "$1"), (r"(?i)(stat|vir|bon|camp|foc|cens|apparat|calcul|chor|circ|consens|surpl|syllab|vers|b)uses$", "$1us"), (r"(?i)\b(g|atl|bi|canv)ases$", "$1as"), (r"(?i)\b(lens|quiz)z?es$", "$1"),
+    (r"(?i)([a-z]{2,}[^sui])s$", "$1"),
+)
 
 
 def literal_map(values: dict) -> Column:
@@ -161,10 +172,9 @@ def mask_secret(connection: Column) -> Column:
 
 
 def singular(name: Column) -> Column:
-    """The singular of a skill's last word by rules; words of KEPT_PLURALS and other endings stay. An approximation."""
+    """The singular of the last word of a name in lower case by the first of PLURALS that fits; KEPT_PLURALS and other endings stay."""
     out = name
-    rules = ((r"(?i)([^aeiou])ies$", "$1y"), (r"(?i)(ss|sh|ch|x|z)es$", "$1"), (r"(?i)([a-z]{2,}[^sui])s$", "$1"))
-    for pattern, by in reversed(rules):
+    for pattern, by in reversed(PLURALS):
         out = F.when(name.rlike(pattern), F.regexp_replace(name, pattern, by)).otherwise(out)
     return F.when(F.lower(name).isin(*KEPT_PLURALS), name).otherwise(out)
 

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import codecs
-import os
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from workloom.functions import scalars as S
-from workloom.runtime import cut
+from workloom.operators.postings import unit_groups
+from workloom.runtime import cut, exists
 
 #: Columns that a raw monthly file must have.
 REQUIRED = ("Job Title", "NOC21 Code", "NOC21 Code Name", "Vacancy Count", "First Posting Date", "Salary Minimum", "Salary Maximum", "Salary Per", "Province/Territory", "City", "NOC 2016 Code", "NOC 2016 Code Name")
+#: Columns of the occupation master, and of the raw postings.
+MASTER = ("Level", "Code - NOC 2021 V1.0", "Class title")
+POSTINGS = ("job_id", "company_name", "title", "description", "formatted_experience_level")
 CATALOGUE = "result struct<resources:array<struct<url:string,format:string>>>"
 
 
@@ -22,37 +26,45 @@ CATALOGUE = "result struct<resources:array<struct<url:string,format:string>>>"
 class Format:
     encoding: str
     separator: str
-    #: UTF-16 can't be split into lines by single bytes.
+    #: Whether the file must be read as one piece.
     multi_line: bool
 
 
-def sniff(path: str) -> Format:
-    """Format of a file: UTF-16 by its mark, else UTF-8 if all of it decodes, else Latin-1; tab or comma by the header."""
-    with open(path, "rb") as file:
-        head = file.read(4096)
-        if not head:
-            raise ValueError(f"{path} is empty")
-        if head[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
-            encoding = "UTF-16"
-        else:
-            decoder, encoding = codecs.getincrementaldecoder("utf-8-sig")(), "UTF-8"
-            try:
-                decoder.decode(head)
-                while block := file.read(1 << 20):
-                    decoder.decode(block)
-                decoder.decode(b"", True)
-            except UnicodeDecodeError:
-                encoding = "ISO-8859-1"
-    first = head.decode("utf-16" if encoding == "UTF-16" else "latin-1", "ignore").splitlines()[0]
-    return Format(encoding, "\t" if first.count("\t") > first.count(",") else ",", encoding == "UTF-16")
+def _head(spark: SparkSession, path: str, n: int = 4096) -> bytes:
+    """The first bytes of a file of any file system."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        return bytes(stream.readNBytes(n))
+    finally:
+        stream.close()
+
+
+def sniff(spark: SparkSession, path: str) -> Format:
+    """Format of a file: UTF-16 by its mark, else UTF-8 if all of it decodes, else Latin-1; tab or comma by the header.
+
+    The driver reads the head only; the workers judge the rest, line by line. A file is read as one piece only
+    where it must be: UTF-16, and lines with an odd number of quotes, as a record goes on behind such a line.
+    """
+    head = _head(spark, path)
+    if not head:
+        raise ValueError(f"{path} is empty")
+    if head[:2] in (codecs.BOM_UTF16_LE, codecs.BOM_UTF16_BE):
+        encoding, multi_line = "UTF-16", True
+    else:
+        quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+        valid, multi_line = spark.read.text(path).agg(F.bool_and(F.is_valid_utf8("value")), F.bool_or(quotes % 2 == 1)).first()
+        encoding = "UTF-8" if valid in (True, None) else "ISO-8859-1"
+    first = head[: len(head) // 2 * 2].decode("utf-16" if encoding == "UTF-16" else "latin-1", "ignore").splitlines()[:1]
+    tabbed = bool(first) and first[0].count("\t") > first[0].count(",")
+    return Format(encoding, "\t" if tabbed else ",", bool(multi_line))
 
 
 def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED, fmt: Format | None = None) -> DataFrame:
     """A raw CSV file as text columns; text that counts as null is null. An error names missing columns."""
-    found = fmt or sniff(path)
-    # records may hold line breaks inside quotes
-    df = spark.read.csv(path, header=True, sep=found.separator, encoding=found.encoding, multiLine=True, quote='"', escape='"', inferSchema=False)
-    df = df.toDF(*(c.lstrip("﻿").strip() for c in df.columns))
+    found = fmt or sniff(spark, path)
+    df = spark.read.csv(path, header=True, sep=found.separator, encoding=found.encoding, multiLine=found.multi_line, quote='"', escape='"', inferSchema=False)
+    df = df.toDF(*(c.lstrip("\ufeff").strip() for c in df.columns))
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
@@ -60,30 +72,45 @@ def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRE
 
 
 def validate(spark: SparkSession, path: str, required: tuple[str, ...] = REQUIRED) -> dict:
-    """path, ok, encoding, separator, error of a raw file."""
-    if not os.path.exists(path):
-        return {"path": path, "ok": False, "encoding": None, "separator": None, "error": "no such file"}
+    """path, ok, encoding, separator, rows, error of a raw file; error names what failed: the file, its content, its columns or its rows."""
+    result = {"path": path, "ok": False, "encoding": None, "separator": None, "rows": None, "error": None}
+    if not exists(spark, path):
+        return result | {"error": "no such file"}
     try:
-        fmt = sniff(path)
-        if read_csv(spark, path, required, fmt).isEmpty():
-            raise ValueError("no rows")
-        return {"path": path, "ok": True, "encoding": fmt.encoding, "separator": fmt.separator, "error": None}
+        fmt = sniff(spark, path)
+        rows = read_csv(spark, path, required, fmt).count()
     except Exception as error:
-        return {"path": path, "ok": False, "encoding": None, "separator": None, "error": str(error)[:500]}
+        return result | {"error": str(error)[:500]}
+    return result | {"ok": rows > 0, "encoding": fmt.encoding, "separator": fmt.separator, "rows": rows, "error": None if rows else "no rows"}
 
 
-def read_months(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """One table of the monthly files by year_month; columns that a file lacks are null."""
-    result = None
-    for month, path in sorted(paths.items()):
-        df = read_csv(spark, path).withColumn("year_month", F.lit(month))
-        result = df if result is None else result.unionByName(df, allowMissingColumns=True)
-    if result is None:
+def read_occupations(spark: SparkSession, path: str) -> DataFrame:
+    """noc21_code, noc21_name of the unit groups of an occupation master file."""
+    master = read_csv(spark, path, MASTER)
+    level, code, name = (F.col(f"`{c}`") for c in MASTER)
+    return unit_groups(master.select(S.number(level).cast("int").alias("level"), code.alias("code"), name.alias("name")))
+
+
+def read_postings(spark: SparkSession, path: str, required: tuple[str, ...] = POSTINGS) -> DataFrame:
+    """The raw postings file with job_id as a number; descriptions may have line breaks inside quotes."""
+    df = read_csv(spark, path, required)
+    return df.withColumn("job_id", F.col("job_id").try_cast("bigint"))
+
+
+def union_frames(frames: list[DataFrame]) -> DataFrame:
+    """One table of the frames, by the names of their columns; columns that a frame lacks are null."""
+    if not frames:
         raise ValueError("no files")
-    return result
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
+
+
+def read_months(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """One table of the monthly files (year_month: path), by year_month."""
+    return union_frames([read_csv(spark, path).withColumn("year_month", F.lit(month)) for month, path in sorted(paths.items())])
 
 
 def write_months(df: DataFrame, path: str) -> None:
+    """Writes df in a folder for each year_month, so that readers of a month read its files only."""
     df.write.mode("overwrite").partitionBy("year_month").parquet(path)
 
 
