@@ -74,13 +74,22 @@ def test_nearest(spark):
     assert matching.nearest_reference(asks, refs, "id", "e", "rid", "v", 0.95, keep_scores=False).where("id = 2").first().match_score is None
     assert matching.nearest_reference(asks.limit(0), refs, "id", "e", "rid", "v").columns == ["id", "e", "match_id", "match_score"]
     assert matching.nearest_reference(asks, refs.limit(0), "id", "e", "rid", "v").where("match_id is not null").isEmpty()
-    plain = matching.MATRIX_ROWS
-    try:
-        matching.MATRIX_ROWS = 1
-        joined = {r.id: (r.match_id, r.match_score) for r in matching.nearest_reference(asks, refs, "id", "e", "rid", "v", 0.95).collect()}
-    finally:
-        matching.MATRIX_ROWS = plain
-    assert joined[1] == (got[1].match_id, got[1].match_score) and joined[2][0] is None
+    parts = {r.id: (r.match_id, r.match_score) for r in matching.nearest_reference(asks, refs, "id", "e", "rid", "v", 0.95, block_rows=1).collect()}
+    assert parts == {k: (r.match_id, r.match_score) for k, r in got.items()}
+
+
+def test_nearest_of_repeated_ids_in_many_blocks(spark):
+    rng = random.Random(4)
+    vectors = [[rng.choice([-1.0, 0.0, 1.0]) for _ in range(3)] for _ in range(60)]
+    refs = spark.createDataFrame([*((k, v) for k, v in enumerate(vectors)), (None, [1.0, 0.0, 0.0])], "rid int, v array<float>")
+    asks = spark.createDataFrame([(rng.choice([None, 1, 2]), [rng.random() for _ in range(3)], k, 0.5) for k in range(40)], "id int, e array<float>, n int, match_score double")
+    whole, parts = ({r.n: tuple(r) for r in matching.nearest_reference(asks, refs, "id", "e", "rid", "v", 0.5, block_rows=size).collect()} for size in (100, 7))
+    assert whole == parts and len(whole) == 40
+    norm = lambda v: sum(x * x for x in v) ** 0.5
+    for r in asks.collect():
+        score = lambda v: round(sum(x * y for x, y in zip(r.e, v)) / ((norm(r.e) + 1e-10) * (norm(v) + 1e-10)), 12)
+        best = max(range(60), key=lambda k: (score(vectors[k]), -k))
+        assert whole[r.n][3] == (best if score(vectors[best]) >= 0.5 else None)
 
 
 ANSWERS = [
@@ -104,6 +113,14 @@ def test_enrichment(spark):
     assert (kept[1].noc_id, kept[1].seniority) == (5, "intern")
 
 
+def test_the_last_result_counts(spark):
+    results = spark.createDataFrame([("a", 1, 0, "Cooks", "intern", []), ("a", 1, 2, None, "senior", []), ("a", 1, 1, "Bakers", None, []), ("a", 2, 3, "Bakers", None, [])], "batch_id string, job_id bigint, position int, noc_title string, seniority string, skills " + enrich.SKILLS)
+    rows = spark.createDataFrame([("a", 1, 9, "x", "mid_level"), ("a", 2, None, None, None), ("a", 3, 5, "x", None), ("b", 4, 5, "x", None)], "batch_id string, job_id bigint, noc_id int, noc_match_method string, seniority string")
+    occupations = spark.createDataFrame([(1, "Cooks"), (2, "Bakers"), (3, "Bakers"), (4, None)], "id int, name string")
+    got = {r.job_id: (r.noc_id, r.noc_match_method, r.seniority) for r in enrich.merge(rows, results, occupations, False).collect()}
+    assert got == {1: (9, "x", "senior"), 2: (3, "llm_noc_match", None), 3: (5, "x", None)}
+
+
 def test_prompts_and_completion(spark):
     rows = spark.createDataFrame([("a", 1, "Cook", None, "X", None), ("a", 2, "Chef", "d" * 2000, "Y", "senior")], "batch_id string, job_id bigint, title string, description string, company string, seniority string")
     asked = enrich.prompts(rows, spark.createDataFrame([("Cooks",), ("Bakers",)], "name string"))
@@ -183,6 +200,37 @@ def test_csv_formats(spark, tmp_path, encoding, separator):
     assert files.read_months(spark, {"2023-01": path, "2023-02": path}).count() == 2
 
 
+def test_files_split_where_they_can(spark, tmp_path):
+    for name, city, whole in (("a", '"Y\nZ"', True), ("b", '"Y ""Z"""', False), ("c", "Opéra", False)):
+        with open(tmp_path / name, "w", encoding="latin-1" if name == "c" else "utf-8") as file:
+            file.write(f"id,city\n1,{city}\n2,x\n")
+        fmt = files.sniff(spark, str(tmp_path / name))
+        assert fmt.multi_line == whole and fmt.encoding == ("ISO-8859-1" if name == "c" else "UTF-8")
+        got = files.validate(spark, f"file://{tmp_path / name}", ("id", "city"))
+        assert got["ok"] and got["rows"] == 2
+
+
+def test_masters_and_postings(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('Level,Code - NOC 2021 V1.0,Class title,Class definition\n5,00010,Legislators,"a\nb"\n4,0001,Law,x\n5,,None,x\n')
+    assert [tuple(r) for r in files.read_occupations(spark, str(tmp_path / "m.csv")).collect()] == [("00010", "Legislators")]
+    (tmp_path / "p.csv").write_text('job_id,company_name,title,description,formatted_experience_level,x\n7,A,Cook,"long\ntext",NA,1\n')
+    got = files.read_postings(spark, str(tmp_path / "p.csv")).first()
+    assert got.job_id == 7 and got.description == "long\ntext" and got.formatted_experience_level is None
+    with pytest.raises(ValueError, match="missing columns"):
+        files.read_postings(spark, str(tmp_path / "m.csv"))
+
+
+def test_seed_once_and_months(spark, tmp_path):
+    rows = spark.createDataFrame([("2023-01", 1), ("2023-02", 2)], "year_month string, n int")
+    target = f"file://{tmp_path}/seed"
+    assert warehouse.seed_once(spark, rows, target) and not warehouse.seed_once(spark, rows.union(rows), target)
+    assert spark.read.parquet(target).count() == 2
+    files.write_months(rows, str(tmp_path / "months"))
+    assert (tmp_path / "months/year_month=2023-02").is_dir()
+    with pytest.raises(ValueError, match="no files"):
+        files.read_months(spark, {})
+
+
 def test_csv_errors(spark, tmp_path):
     (tmp_path / "e.csv").write_text("")
     (tmp_path / "w.csv").write_text("a|b\n1|2\n")

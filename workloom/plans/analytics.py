@@ -205,6 +205,25 @@ def topk_string_agg(spark, sf):
     return table(spark, sf, "fact_job_postings").select("job_id", "raw_title").join(top.select("job_id", text.alias("top_skills")), "job_id", "left")
 
 
+@query("""WITH picked AS (SELECT * FROM fact_job_postings WHERE noc_id IS NOT NULL ORDER BY job_id LIMIT 10),
+asked AS (SELECT DISTINCT d.job_id, d.skill_id, s.name FROM fact_job_skill_demand d JOIN picked USING (job_id) JOIN dim_skills s ON s.id = d.skill_id),
+best AS (SELECT job_id, string_agg(name, ', ' ORDER BY skill_id) AS top_skills FROM (SELECT * FROM asked QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY skill_id) <= 5) GROUP BY job_id)
+SELECT p.job_id, c.name AS company, p.raw_title AS title, n.noc21_code AS noc, n.noc21_name AS noc_name, t.level AS seniority, p.noc_match_method AS method,
+  (SELECT count(*) FROM fact_job_skill_demand f WHERE f.job_id = p.job_id) AS skills, b.top_skills
+FROM picked p LEFT JOIN dim_companies c ON c.id = p.company_id LEFT JOIN dim_seniority t ON t.id = p.seniority_id LEFT JOIN noc_titles n ON n.id = p.noc_id LEFT JOIN best b ON b.job_id = p.job_id""")
+def sample_report(spark, sf):
+    """Ten postings with an occupation, the first by their ids, with all names, the number of skills and the first five of them."""
+    picked = F.broadcast(table(spark, sf, "fact_job_postings").where("noc_id is not null").orderBy("job_id").limit(10))  # ten rows
+    demand = table(spark, sf, "fact_job_skill_demand").join(picked.select("job_id"), "job_id")
+    counted = demand.groupBy("job_id").agg(_n().alias("skills"))
+    named = small_side(table(spark, sf, "dim_skills").select(F.col("id").alias("skill_id"), "name"))
+    top = demand.distinct().join(named, "skill_id").groupBy("job_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("skill_id", "name"))), 1, 5).alias("top"))
+    side = lambda name, key, **columns: table(spark, sf, name).select(F.col("id").alias(key), *(F.col(c).alias(a) for a, c in columns.items()))
+    joined = picked.join(counted, "job_id", "left").join(top, "job_id", "left").join(side("dim_companies", "company_id", company="name"), "company_id", "left").join(side("dim_seniority", "seniority_id", seniority="level"), "seniority_id", "left").join(side("noc_titles", "noc_id", noc="noc21_code", noc_name="noc21_name"), "noc_id", "left")
+    text = F.array_join(F.transform("top", lambda x: x["name"]), ", ")
+    return joined.select("job_id", "company", F.col("raw_title").alias("title"), "noc", "noc_name", "seniority", F.col("noc_match_method").alias("method"), F.coalesce("skills", F.lit(0)).alias("skills"), text.alias("top_skills"))
+
+
 @query("""SELECT count(*) AS total, count(noc_id) AS with_occupation, count(seniority_id) AS with_seniority, count(DISTINCT noc_id) AS occupations,
   round(100.0 * count(noc_id) / count(*), 2) AS occupation_pct, (SELECT round(avg(n), 2) FROM (SELECT count(*) AS n FROM fact_job_skill_demand GROUP BY job_id)) AS avg_skills FROM fact_job_postings""")
 def report_counts(spark, sf):

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from workloom.functions import scalars as S
 from workloom.operators import enrich, matching, packing, postings, quality, skills, warehouse
 from workloom.plans import analytics
-from workloom.runtime import small_side, table
+from workloom.runtime import shared_dir, small_side, table
 from workloom.sources import files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,16 +132,37 @@ def year_month_parse(spark, sf):
     return files.months_of(urls.where(S.is_english_address(F.col("url")))).select("year_month")
 
 
-@query("""
-WITH u AS (SELECT DISTINCT 'https://data.example/' || file_name AS url, year_month FROM job_bank_raw)
-SELECT url, year_month FROM u WHERE contains(url, '-en-') OR contains(url, '-en.')""")
-def catalogue_scan(spark, sf):
-    """English CSV addresses of a JSON catalogue."""
+def _catalogue(spark, sf):
+    """A JSON catalogue of each month: an English and a French address of every raw file, and its English address under the month's short name."""
     names = table(spark, sf, "job_bank_raw").select("file_name", "year_month").distinct()
-    resource = F.struct(F.concat(F.lit("https://data.example/"), F.col("file_name")).alias("url"), F.lit("CSV").alias("format"))
-    catalogue = names.groupBy("year_month").agg(F.to_json(F.struct(F.struct(F.collect_list(resource).alias("resources")).alias("result"))).alias("value"))
-    read = catalogue.select("year_month", F.from_json("value", files.CATALOGUE).alias("c")).select("year_month", F.explode("c.result.resources.url").alias("url"))
-    return read.where(F.endswith("url", F.lit(".csv")) & S.is_english_address(F.col("url"))).select("url", "year_month")
+    month = F.substring("year_month", 6, 2).cast("int") - 1
+    long, year = F.get(F.array(*map(F.lit, _MONTH_NAMES)), month), F.substring("year_month", 1, 4)
+    base = F.concat(F.lit("https://data.example/"), F.regexp_replace("file_name", r"[^A-Za-z0-9]+", "_"))
+    urls = F.array(F.concat(base, F.lit("/x-en-"), long, year, F.lit(".csv")), F.concat(base, F.lit("/x-fr-"), long, year, F.lit(".csv")), F.concat(base, F.lit("/x-en-"), F.substring(long, 1, 3), F.lit("-"), year, F.lit(".csv")), F.concat(base, F.lit("/x-en-"), long, year, F.lit(".xlsx")))
+    each = names.select("year_month", F.explode(urls).alias("url"))
+    resources = F.array_sort(F.collect_list(F.struct("url", F.lit("CSV").alias("format"))))
+    return each.groupBy("year_month").agg(F.to_json(F.struct(F.struct(resources.alias("resources")).alias("result"))).alias("value"))
+
+
+_CATALOGUE_SQL = """WITH files AS (SELECT DISTINCT file_name, year_month, strftime((year_month || '-01')::DATE, '%B') AS m FROM job_bank_raw),
+each AS (
+  SELECT year_month, unnest(['/x-en-' || lower(m) || y || '.csv', '/x-fr-' || lower(m) || y || '.csv', '/x-en-' || lower(substr(m, 1, 3)) || '-' || y || '.csv', '/x-en-' || lower(m) || y || '.xlsx']) AS tail, base
+  FROM (SELECT *, substr(year_month, 1, 4) AS y, 'https://data.example/' || regexp_replace(file_name, '[^A-Za-z0-9]+', '_', 'g') AS base FROM files)),
+numbered AS (SELECT year_month, base || tail AS url, row_number() OVER (PARTITION BY year_month ORDER BY base || tail) - 1 AS ord FROM each),
+english AS (SELECT year_month, ord, url FROM numbered WHERE url LIKE '%.csv' AND (url LIKE '%-en-%' OR url LIKE '%-en.%'))
+"""
+
+
+@query(_CATALOGUE_SQL + "SELECT ord::INT AS ord, url FROM english")
+def catalogue_scan(spark, sf):
+    """English CSV addresses of JSON catalogues, with their places."""
+    return files.catalogue_urls(_catalogue(spark, sf))
+
+
+@query(_CATALOGUE_SQL + "SELECT year_month, arg_max(url, ord) AS url FROM english GROUP BY 1")
+def catalogue_months(spark, sf):
+    """The last address of each month."""
+    return files.months_of(files.catalogue_urls(_catalogue(spark, sf)))
 
 
 @query("SELECT year_month FROM (SELECT DISTINCT year_month FROM job_bank_csv) WHERE year_month NOT IN (SELECT year_month FROM job_bank_raw)")
@@ -238,9 +259,24 @@ def nearest_reference(spark, sf):
     return matching.nearest_reference(vectors, firsts, "vec_id", "embedding", "rid", "rvec", 0.65).select("vec_id", "match_id", "match_score")
 
 
+@query("""
+WITH refs AS (SELECT vec_id AS rid, embedding AS v FROM embeddings WHERE label < 5),
+scored AS (
+  SELECT vec_id, label, rid, list_sum(list_transform(list_zip(embedding, v), lambda x: x[1]::DOUBLE * x[2]::DOUBLE))
+    / ((sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))) + 1e-10) * (sqrt(list_sum(list_transform(v, lambda x: x::DOUBLE * x::DOUBLE))) + 1e-10)) AS score
+  FROM embeddings CROSS JOIN refs),
+best AS (SELECT vec_id, label, rid, score FROM scored QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 12) DESC, rid) = 1)
+SELECT vec_id, label, CASE WHEN score >= 0.5 THEN rid END AS match_id, round(CASE WHEN score >= 0.5 THEN score END, 4) AS match_score FROM best""")
+def nearest_reference_blocks(spark, sf):
+    """Rows with repeated ids against a list of several blocks, scores kept only for matches."""
+    vectors = table(spark, sf, "embeddings")
+    return matching.nearest_reference(vectors, vectors.where("label < 5"), "label", "embedding", "vec_id", "embedding", 0.5, keep_scores=False, block_rows=64).select("vec_id", "label", "match_id", "match_score")
+
+
 def _to_pack(spark, sf, matched: bool):
     rows = table(spark, sf, "fact_job_postings").where(F.col("noc_id").isNotNull() if matched else F.col("noc_id").isNull())
-    return rows.select(F.col("company_id").cast("string").alias("company"), F.col("noc_id").alias("noc"), F.col("job_id").alias("ord"), F.col("job_id").alias("id"))
+    named = table(spark, sf, "dim_companies").select(F.col("id").alias("company_id"), F.col("name").alias("company"))
+    return rows.select("job_id", "company_id", "noc_id").join(small_side(named), "company_id", "left").select("company", F.col("noc_id").alias("noc"), F.col("job_id").alias("ord"), F.col("job_id").alias("id"))
 
 
 def _stage_sql(name: str, source: str, group: str, order: str, size: int) -> str:
@@ -249,24 +285,24 @@ def _stage_sql(name: str, source: str, group: str, order: str, size: int) -> str
 {name}_left AS (SELECT company, noc, id FROM {name}_n WHERE (chunk + 1) * {size} > n)"""
 
 
-_MATCHED_SQL = f"""WITH base AS (SELECT coalesce(company_id::VARCHAR, '') AS company, noc_id AS noc, job_id AS id FROM fact_job_postings WHERE noc_id IS NOT NULL),
+_MATCHED_SQL = f"""WITH base AS (SELECT coalesce(c.name, '') AS company, noc_id AS noc, job_id AS id FROM fact_job_postings LEFT JOIN dim_companies c ON c.id = company_id WHERE noc_id IS NOT NULL),
 {_stage_sql("a", "base", "company, noc", "id", 10)}, {_stage_sql("b", "a_left", "noc", "company, id", 10)},
 packed AS (
   SELECT 'co_noc' AS kind, company, noc, id, chunk FROM a_full UNION ALL SELECT 'noc', company, noc, id, chunk FROM b_full
   UNION ALL SELECT 'rem', company, noc, id, (row_number() OVER (ORDER BY noc, company, id) - 1) // 10 FROM b_left)
 """
-_UNMATCHED_SQL = f"""WITH base AS (SELECT coalesce(company_id::VARCHAR, '') AS company, 0 AS noc, job_id AS id FROM fact_job_postings WHERE noc_id IS NULL),
+_UNMATCHED_SQL = f"""WITH base AS (SELECT coalesce(c.name, '') AS company, 0 AS noc, job_id AS id FROM fact_job_postings LEFT JOIN dim_companies c ON c.id = company_id WHERE noc_id IS NULL),
 {_stage_sql("a", "base", "company", "id", 5)},
 packed AS (
   SELECT 'co' AS kind, company, noc, id, chunk FROM a_full
   UNION ALL SELECT 'rem', company, noc, id, (row_number() OVER (ORDER BY company, id) - 1) // 5 FROM a_left)
 """
-_BATCHES_SQL = """, batches AS (
+_BATCHES_SQL = r""", batches AS (
   SELECT kind, CASE WHEN kind IN ('co_noc', 'co') THEN company ELSE '' END AS c, CASE WHEN kind IN ('co_noc', 'noc') THEN noc ELSE 0 END AS k, count(*) AS n_rows, substr(md5(string_agg(id::VARCHAR, ',' ORDER BY id)), 1, 12) AS h
   FROM packed GROUP BY kind, c, k, chunk),
 named AS (
-  SELECT kind, n_rows, CASE kind WHEN 'co_noc' THEN 'co_noc_' || CASE c WHEN '' THEN 'unknown' ELSE c END WHEN 'noc' THEN 'noc_' || k WHEN 'co' THEN 'co_' || CASE c WHEN '' THEN 'unknown' ELSE c END ELSE 'rem' END || '_' || h AS batch_id
-  FROM batches)
+  SELECT kind, n_rows, CASE kind WHEN 'co_noc' THEN 'co_noc_' || CASE c WHEN '' THEN 'unknown' ELSE safe END WHEN 'noc' THEN 'noc_' || k WHEN 'co' THEN 'co_' || CASE c WHEN '' THEN 'unknown' ELSE safe END ELSE 'rem' END || '_' || h AS batch_id
+  FROM (SELECT *, substr(regexp_replace(c, '[^\p{L}\p{M}\p{N}_\-]', '_', 'g'), 1, 50) AS safe FROM batches))
 """
 
 
@@ -309,10 +345,20 @@ def session_plan(spark, sf):
 
 @query("SELECT event_id, TRY_CAST(props->>'$.k' AS BIGINT) AS k FROM events")
 def json_parse(spark, sf):
-    """Fields of JSON text, null for broken text."""
+    """Fields of JSON text, null for broken text."""
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k bigint", {"mode": "PERMISSIVE"})["k"].alias("k"))
 
 
+@query("SELECT event_id AS job_id, event_type AS noc_title, CASE event_id % 5 WHEN 1 THEN 'senior' ELSE NULL END AS seniority FROM events WHERE event_id % 5 IN (1, 2)")
+def response_parse(spark, sf):
+    """fenced and bare responses are read from their first to their last brace; broken, blank and other ones give nothing."""
+    body = F.concat(F.lit('{"results": [{"job_id": '), F.col("event_id").cast("string"), F.lit(', "noc_title": "'), F.col("event_type"), F.lit('"'), F.when(F.col("event_id") % 5 == 1, ', "seniority": "senior"').otherwise(""), F.lit("}]}"))
+    forms = {0: F.lit("  "), 1: F.concat(F.lit("```json\n"), body, F.lit("\n```\nDone.")), 2: F.concat(F.lit("Sure: "), body), 3: F.substring(body, 1, 25), 4: F.concat(F.lit('{"results": "'), F.col("event_type"), F.lit('"}'))}
+    response = F.coalesce(*(F.when(F.col("event_id") % 5 == k, x) for k, x in forms.items()))
+    each = table(spark, sf, "events").select(F.explode(enrich.parse(response)).alias("r"))
+    return each.select("r.job_id", "r.noc_title", "r.seniority")
+
+
 _ANSWER_SQL = """WITH d AS (SELECT DISTINCT job_id, skill_id FROM fact_job_skill_demand WHERE skill_id IS NOT NULL),
 skills AS (SELECT job_id, lower(trim(name)) AS name, category FROM d JOIN dim_skills s ON s.id = d.skill_id WHERE trim(name) <> ''),
 agg AS (SELECT job_id, count(*) AS n_skills FROM skills GROUP BY job_id)
@@ -335,14 +381,38 @@ def response_validation(spark, sf):
     return enrich.validated(_answers(spark, sf)).select("job_id", "seniority", F.size("skills").alias("n_skills"))
 
 
-@query(_ANSWER_SQL + """SELECT p.job_id, p.noc_id, p.noc_match_method, coalesce(CASE p.job_id % 6 WHEN 0 THEN 'intern' WHEN 1 THEN 'entry_level' WHEN 2 THEN 'mid_level' WHEN 3 THEN 'senior' WHEN 4 THEN 'executive' END, d.level) AS seniority, n_skills::INT AS n_skills
-FROM fact_job_postings p JOIN agg USING (job_id) LEFT JOIN dim_seniority d ON d.id = p.seniority_id""")
-def merge_enriched(spark, sf):
-    """Results merged into the postings; batches without a result are left out."""
+_TIER_SQL = "CASE p.job_id % 6 WHEN 0 THEN 'intern' WHEN 1 THEN 'entry_level' WHEN 2 THEN 'mid_level' WHEN 3 THEN 'senior' WHEN 4 THEN 'executive' END"
+_MERGE_SQL = _ANSWER_SQL + f"""SELECT p.job_id, {{noc}}, coalesce({_TIER_SQL}, d.level) AS seniority, n_skills::INT AS n_skills
+FROM fact_job_postings p JOIN agg USING (job_id) LEFT JOIN dim_seniority d ON d.id = p.seniority_id
+LEFT JOIN (SELECT asked.id AS asked_id, max(other.id) AS new_noc FROM noc_titles asked JOIN noc_titles other ON other.noc21_name = asked.noc21_name GROUP BY 1) n ON n.asked_id = p.job_id % 700 WHERE {{which}}"""
+
+
+def _merged(spark, sf, matched: bool):
+    """Postings merged with responses of two results each: the last one counts, with a title of the list, or an unknown one."""
+    named = small_side(table(spark, sf, "dim_skills").select(F.col("id").alias("skill_id"), "name", "category"))
+    titles = table(spark, sf, "noc_titles").select(F.col("id").alias("at"), "noc21_name")
+    wanted = table(spark, sf, "fact_job_skill_demand").where("skill_id is not null").distinct().join(named, "skill_id").groupBy("job_id").agg(F.collect_list(F.struct("name", "category")).alias("skills"))
+    asked = wanted.withColumn("at", F.pmod("job_id", F.lit(700)).cast("int")).join(small_side(titles), "at", "left")
+    tier = F.get(F.array(*map(F.lit, (*S.TIERS, "wizard"))), F.pmod("job_id", F.lit(6)).cast("int"))
+    result = lambda title, level, skills: F.struct("job_id", title.alias("noc_title"), level.alias("seniority"), skills.alias("skills"))
+    both = F.array(result(F.lit("null"), F.lit("executive"), F.slice("skills", 1, 1)), result(F.coalesce("noc21_name", F.lit("no such work")), tier, F.col("skills")))
+    answers = asked.select(F.col("job_id").cast("string").alias("batch_id"), F.to_json(F.struct(both.alias("results"))).alias("response"))
     tiers = table(spark, sf, "dim_seniority").select(F.col("id").alias("seniority_id"), F.col("level").alias("seniority"))
-    rows = table(spark, sf, "fact_job_postings").join(small_side(tiers), "seniority_id", "left").select(F.col("job_id").cast("string").alias("batch_id"), "job_id", "noc_id", "noc_match_method", "seniority")
+    rows = table(spark, sf, "fact_job_postings").where(F.col("noc_id").isNotNull() if matched else F.col("noc_id").isNull()).join(small_side(tiers), "seniority_id", "left")
     occupations = table(spark, sf, "noc_titles").select("id", F.col("noc21_name").alias("name"))
-    return enrich.merge(rows, enrich.validated(_answers(spark, sf)), occupations, matched=False).select("job_id", "noc_id", "noc_match_method", "seniority", F.size("skills").alias("n_skills"))
+    return enrich.merge(rows.select(F.col("job_id").cast("string").alias("batch_id"), "job_id", "noc_id", "noc_match_method", "seniority"), enrich.validated(answers), occupations, matched)
+
+
+@query(_MERGE_SQL.format(noc="n.new_noc AS noc_id, CASE WHEN n.new_noc IS NOT NULL THEN 'llm_noc_match' ELSE p.noc_match_method END AS noc_match_method", which="p.noc_id IS NULL"))
+def merge_enriched(spark, sf):
+    """The last result of each posting merged into those without an occupation; batches without a result are left out."""
+    return _merged(spark, sf, False).select("job_id", "noc_id", "noc_match_method", "seniority", F.size("skills").alias("n_skills"))
+
+
+@query(_MERGE_SQL.format(noc="p.noc_id, p.noc_match_method", which="p.noc_id IS NOT NULL"))
+def merge_matched(spark, sf):
+    """the same for postings with an occupation, which they keep."""
+    return _merged(spark, sf, True).select("job_id", "noc_id", "noc_match_method", "seniority", F.size("skills").alias("n_skills"))
 
 
 def _skill_rows(spark, sf):
@@ -373,10 +443,10 @@ def majority_vote(spark, sf):
     return _votes(spark, sf).drop("total_votes")
 
 
-@query(_VOTES_SQL + "SELECT skill, category, votes, n_categories, total_votes FROM b WHERE n_categories > 1 ORDER BY total_votes DESC, skill LIMIT 5")
+@query(_VOTES_SQL + "SELECT skill, category, votes, n_categories FROM b WHERE n_categories > 1 ORDER BY total_votes DESC, skill LIMIT 5")
 def multi_category(spark, sf):
     """A5: the five skills of several categories with most votes, those of all their categories."""
-    return _votes(spark, sf).where("n_categories > 1").orderBy(F.desc("total_votes"), "skill").limit(5)
+    return _votes(spark, sf).where("n_categories > 1").orderBy(F.desc("total_votes"), "skill").limit(5).drop("total_votes")
 
 
 @query("SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) = 1")
@@ -387,10 +457,19 @@ def checkpoint_first_wins(spark, sf):
 
 @query("SELECT event_id, user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
 def checkpoint_last_wins(spark, sf):
-    """W6, P14."""
+    """W6."""
     return warehouse.first_wins(table(spark, sf, "events"), "user_id", F.desc("event_id")).select("event_id", "user_id", "event_type")
 
 
+@query("SELECT job_id, CASE WHEN noc_id IS NOT NULL AND job_id % 3 <> 0 THEN 'matched' ELSE 'unmatched' END AS kind FROM fact_job_postings")
+def reclassify_checkpoints(spark, sf):
+    """Old checkpoints split by the method of each posting's last row; every third posting lost its method in a later file."""
+    rows = table(spark, sf, "fact_job_postings").select("job_id", F.when(F.col("noc_id").isNotNull(), "sentence_transformer").alias("noc_match_method"), F.lit("a.json").alias("file"))
+    later = rows.where("job_id % 3 = 0").select("job_id", F.lit(None).cast("string").alias("noc_match_method"), F.lit("b.json").alias("file"))
+    matched, unmatched = warehouse.split_checkpoints(rows.unionByName(later))
+    return matched.select("job_id", F.lit("matched").alias("kind")).unionByName(unmatched.select("job_id", F.lit("unmatched").alias("kind")))
+
+
 @query("SELECT DISTINCT job_id FROM fact_job_postings WHERE job_id NOT IN (SELECT job_id FROM fact_job_skill_demand)")
 def resume_antijoin(spark, sf):
     """Ids that aren't done."""
@@ -403,12 +482,13 @@ def new_rows_semi(spark, sf):
     return table(spark, sf, "fact_job_postings").select("job_id").distinct().join(table(spark, sf, "fact_job_skill_demand"), "job_id", "left_semi")
 
 
-@query(_MATCHED_SQL + """, hashed AS (SELECT kind, CASE WHEN kind = 'co_noc' THEN company ELSE '' END AS c, CASE WHEN kind IN ('co_noc', 'noc') THEN noc ELSE 0 END AS k, chunk, count(*) AS n_rows, bool_and(id IN (SELECT job_id FROM fact_job_skill_demand)) AS done FROM packed GROUP BY ALL)
+@query(_MATCHED_SQL + """, hashed AS (SELECT kind, CASE WHEN kind = 'co_noc' THEN company ELSE '' END AS c, CASE WHEN kind IN ('co_noc', 'noc') THEN noc ELSE 0 END AS k, chunk, count(*) AS n_rows, bool_and(id IN (SELECT job_id FROM fact_job_skill_demand GROUP BY job_id HAVING count(*) >= 8)) AS done FROM packed GROUP BY ALL)
 SELECT kind, count(*) AS n_batches FROM hashed WHERE NOT done GROUP BY kind""".replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4"))
 def undone_batches(spark, sf):
-    """Batches with any open id are run again whole."""
+    """Batches with any open id are run again whole; a posting is done here when it has eight rows of skills."""
     made = packing.batches(packing.pack_matched(_to_pack(spark, sf, True)))
-    return packing.undone(made, table(spark, sf, "fact_job_skill_demand").select(F.col("job_id").alias("id"))).groupBy("kind").agg(F.count(F.lit(1)).alias("n_batches"))
+    done = table(spark, sf, "fact_job_skill_demand").groupBy(F.col("job_id").alias("id")).agg(F.count(F.lit(1)).alias("n")).where("n >= 8")
+    return packing.undone(made, done).groupBy("kind").agg(F.count(F.lit(1)).alias("n_batches"))
 
 
 @query("SELECT id, level FROM dim_seniority")
@@ -446,10 +526,13 @@ def insert_if_absent(spark, sf):
     return warehouse.insert_absent(table(spark, sf, "noc_titles").select("noc21_code"), rows, "noc21_code")
 
 
-@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
+@query(_ANSWER_SQL + """SELECT CASE WHEN noc_id IS NULL THEN 'unmatched' ELSE 'matched' END AS type, count(*) AS batches, count(*) AS rows,
+  count(CASE WHEN noc_id IS NOT NULL OR job_id % 700 IN (SELECT id FROM noc_titles) THEN 1 END) AS matched, count(*) FILTER (n_skills > 0) AS with_skills
+FROM fact_job_postings JOIN agg USING (job_id) GROUP BY 1""")
 def progress_sums(spark, sf):
-    """Sums by type."""
-    return table(spark, sf, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("value").cast("decimal(38,4)")).cast("double"), 4).alias("total"))
+    """Sums of the progress records of merged batches by type."""
+    records = enrich.progress(_merged(spark, sf, True), True).unionByName(enrich.progress(_merged(spark, sf, False), False))
+    return enrich.progress_sums(records)
 
 
 @query()
@@ -465,10 +548,20 @@ def mask_secrets(spark, sf):
     return table(spark, sf, "nation").where("n_name is not null").select("n_regionkey", S.mask_secret(url).alias("masked"))
 
 
-@query("SELECT year_month, count(*) AS n, sum(vacancy_count)::BIGINT AS vacancies FROM job_bank_csv GROUP BY 1")
+@query("SELECT year_month, count(*) AS n, sum(vacancy_count)::BIGINT AS vacancies FROM job_bank_csv WHERE year_month IS NOT NULL GROUP BY 1")
+def monthly_files(spark, sf):
+    """Rows written in a folder for each month and read again."""
+    path = f"{shared_dir(spark)}/months-{uuid.uuid4().hex}"
+    files.write_months(table(spark, sf, "job_bank_csv").where("year_month is not null"), path)
+    return spark.read.schema("year_month string, vacancy_count int").parquet(path).groupBy("year_month").agg(F.count(F.lit(1)).alias("n"), F.sum("vacancy_count").alias("vacancies"))
+
+
+@query("""SELECT year_month, count(*) AS n, sum(vacancy_count)::BIGINT AS vacancies, count(raw_line) AS raw_lines
+FROM (SELECT year_month, vacancy_count FROM job_bank_csv UNION ALL BY NAME SELECT year_month, raw_line FROM job_bank_raw) GROUP BY 1""")
 def monthly_union(spark, sf):
-    """Months of one table."""
-    return table(spark, sf, "job_bank_csv").groupBy("year_month").agg(F.count(F.lit(1)).alias("n"), F.sum("vacancy_count").alias("vacancies"))
+    """Frames of different columns in one table."""
+    frames = [table(spark, sf, "job_bank_csv").select("year_month", "vacancy_count"), table(spark, sf, "job_bank_raw").select("year_month", "raw_line")]
+    return files.union_frames(frames).groupBy("year_month").agg(F.count(F.lit(1)).alias("n"), F.sum("vacancy_count").alias("vacancies"), F.count("raw_line").alias("raw_lines"))
 
 
 QUERIES |= analytics.QUERIES
