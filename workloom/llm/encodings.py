@@ -37,6 +37,8 @@ CHAINS: tuple[tuple[tuple[str, str], ...], ...] = (
 POOLS = 256
 WORD_BINS = 1 << 18
 ROUNDS = 4
+#: Distinct texts that a task judges, as long as all cores have some.
+TASK_TEXTS = 20_000
 _SMOOTH = 3.0
 #: Longer words are scored anew each time.
 _KEPT_WORD = 64
@@ -302,6 +304,8 @@ def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     pooled = records.select("record_id", "field", "value", F.pmod(F.xxhash64("field", F.coalesce("source", F.lit(""))), F.lit(POOLS)).cast("int").alias("pool"))
     counted = pooled.where("value is not null and value <> ''").groupBy("value", "pool").agg(F.count(F.lit(1)).alias("n"))
     values = cut(counted.groupBy("value").agg(F.collect_list(F.struct("pool", "n")).alias("pools")))  # a text has at most POOLS * fields pools
+    # the rounds are Python's work: every core has texts, and no task too many
+    values = cut(values.repartition(max(records.sparkSession.sparkContext.defaultParallelism, -(-values.count() // TASK_TEXTS))))
     model, shares = None, {}
     for _ in range(rounds):
         model, shares = _maximise(values, model, shares)
