@@ -258,31 +258,39 @@ def _sums(batches: Iterator[pa.RecordBatch], model: TextModel | None, shares: di
         yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], names=["kind", "a", "b", "weight"])
 
 
-def _maximise(values: DataFrame, model: TextModel | None, shares: dict[int, list[float]]) -> tuple[TextModel, dict[int, list[float]]]:
-    sc = values.sparkSession.sparkContext
-    given = sc.broadcast(((model.pairs, model.words) if model else None, shares))
+def _expected(values: DataFrame, model: TextModel | None, shares: dict[int, list[float]]) -> list:
+    """The summed rows of _sums over values: at most (classes of characters)^2 pairs, POOLS * fields * chains shares and WORD_BINS words, whatever the input."""
+    given = values.sparkSession.sparkContext.broadcast(((model.pairs, model.words) if model else None, shares))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned, own = given.value
         return _sums(batches, TextModel(*learned) if learned else None, own)
 
-    # at most (classes of characters)^2 pairs, POOLS * fields * chains shares and WORD_BINS words, whatever the input
-    rows = values.mapInArrow(run, "kind string, a string, b string, weight double").groupBy("kind", "a", "b").agg(F.sum("weight").alias("weight")).collect()
-    pairs = {(r.a, r.b): r.weight for r in rows if r.kind == "pair"}
-    words = {int(r.a): r.weight for r in rows if r.kind == "word"}
+    return values.mapInArrow(run, "kind string, a string, b string, weight double").groupBy("kind", "a", "b").agg(F.sum("weight").alias("weight")).collect()
+
+
+def _maximise(rows: list, first: bool) -> tuple[TextModel, dict[int, list[float]]]:
+    """The pair model and the shares of the chains in each pool, from expected counts."""
+    pairs: dict[tuple[str, str], float] = defaultdict(float)
+    words: dict[int, float] = defaultdict(float)
     counts: dict[int, list[float]] = {}
     whole = [0.0] * len(CHAINS)
     for r in rows:
-        if r.kind == "chain":
+        if r.kind == "pair":
+            pairs[r.a, r.b] += r.weight
+        elif r.kind == "word":
+            words[int(r.a)] += r.weight
+        else:
             counts.setdefault(int(r.a), [0.0] * len(CHAINS))[int(r.b)] += r.weight
             whole[int(r.b)] += r.weight
     base = [(w + (20.0 if c == 0 else 0.5)) for c, w in enumerate(whole)]
     base = [b / sum(base) for b in base]
-    if model is None:  # no chain was weighed yet
+    learned = TextModel(dict(pairs), dict(words))
+    if first:  # no chain was weighed yet
         base = [0.9] + [0.1 / (len(CHAINS) - 1)] * (len(CHAINS) - 1)
-        return TextModel(pairs, words), {p: base for p in counts}
+        return learned, {p: base for p in counts}
     prior = 20.0
-    return TextModel(pairs, words), {p: [(n + prior * b) / (sum(c) + prior) for n, b in zip(c, base)] for p, c in counts.items()}
+    return learned, {p: [(n + prior * b) / (sum(c) + prior) for n, b in zip(c, base)] for p, c in counts.items()}
 
 
 def _loss_key(word: Column) -> Column:
@@ -304,11 +312,14 @@ def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     pooled = records.select("record_id", "field", "value", F.pmod(F.xxhash64("field", F.coalesce("source", F.lit(""))), F.lit(POOLS)).cast("int").alias("pool"))
     counted = pooled.where("value is not null and value <> ''").groupBy("value", "pool").agg(F.count(F.lit(1)).alias("n"))
     values = cut(counted.groupBy("value").agg(F.collect_list(F.struct("pool", "n")).alias("pools")))  # a text has at most POOLS * fields pools
+    # texts of ASCII letters came through no chain: what they add to the model is the same in every round
+    is_odd = F.col("value").rlike(r"[^\x00-\x7F]")
+    plain, odd = values.where(~is_odd), cut(values.where(is_odd))
     # the rounds are Python's work: every core has texts, and no task too many
-    values = cut(values.repartition(max(records.sparkSession.sparkContext.defaultParallelism, -(-values.count() // TASK_TEXTS))))
-    model, shares = None, {}
-    for _ in range(rounds):
-        model, shares = _maximise(values, model, shares)
+    odd = cut(odd.repartition(max(records.sparkSession.sparkContext.defaultParallelism, -(-odd.count() // TASK_TEXTS))))
+    model, shares, always = None, {}, _expected(plain, None, {})
+    for k in range(rounds):
+        model, shares = _maximise(always + _expected(odd, model, shares), k == 0)
     given = values.sparkSession.sparkContext.broadcast((model.pairs, model.words, shares))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +328,7 @@ def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         for batch in batches:
             out = []
             for text, pools in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = [(0, 0.0, text)] if text.isascii() else likelihoods(text, final, sum(x["n"] for x in pools))
+                found = likelihoods(text, final, sum(x["n"] for x in pools))
                 for x in pools:
                     weighed = posterior(found, own[x["pool"]])
                     intact = weighed[0][1]
@@ -326,7 +337,8 @@ def repair(records: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out), (pa.int32(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.float64()))], names=["pool", "value", "n", "restored", "chain", "probability"])
 
-    judged = cut(values.mapInArrow(judge, "pool int, value string, n long, restored string, chain string, probability double"))
+    unharmed = plain.select("value", F.explode("pools").alias("x")).select("x.pool", "value", "x.n", F.col("value").alias("restored"), F.lit(chain_name(0)).alias("chain"), F.lit(1.0).alias("probability"))
+    judged = cut(odd.mapInArrow(judge, "pool int, value string, n long, restored string, chain string, probability double").unionByName(unharmed))
 
     words = judged.select(F.explode(F.split("restored", " ", -1)).alias("word"), "n").where(F.col("word").rlike(r"[^\x00-\x7F]") & ~F.col("word").rlike(r"[\x{FFFD}\x{80}-\x{9F}?]"))
     spelled = words.groupBy(_loss_key(F.col("word")), "word").agg(F.sum("n").alias("n"))
