@@ -280,8 +280,9 @@ def _met(framed: DataFrame, ways: DataFrame, tokens: DataFrame, block_names: int
     blocks = framed.select(F.col("token").alias("other"), "within", F.col("first").alias("b"))
     met = entered.join(blocks, ["other", "within"]).select(F.col("first").alias("a"), "b")
 
-    hot = cut(placed.where((F.col("least") > block_names) & (F.col("place") <= 2)).select("first", "token", "within", "place"))
+    hot = placed.where((F.col("least") > block_names) & (F.col("place") <= 2)).select("first", "token", "within", "place")
     if not hot.isEmpty():
+        hot = cut(hot)
         within = small_side(hot.select("within").distinct())
         here = cut(framed.join(within, "within", "left_semi"))
         other = entries.drop("n").join(hot.select("first", "token", "place"), ["first", "token"])
@@ -342,7 +343,7 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name", block_na
     frame = frame.withColumn("frame", F.concat_ws(" ", "frame", F.col("n_tokens").cast("string")))  # only names of as many tokens can be aligned
     keyed = part.where("not personal and frame is null").select("first", "token").distinct().join(frame, "first").select("first", "token", F.col("frame").alias("within"))
     framed = cut(keyed.unionByName(frame.where("n_rare = 0").select("first", F.lit("").alias("token"), F.col("frame").alias("within"))))
-    ways = cut(near.select("token", "other").unionByName(framed.select("token", F.col("token").alias("other"))).distinct())
+    ways = near.select("token", "other").unionByName(framed.select("token", F.col("token").alias("other"))).distinct()
     met = _met(framed, ways, part.select("first", bare.alias("token"), "personal"), block_names)
     held = distinct.select("first", "tokens")
     pairs = met.join(held.withColumnsRenamed({"first": "a", "tokens": "x"}), "a").join(held.withColumnsRenamed({"first": "b", "tokens": "y"}), "b").select("a", "b", "x", "y")
