@@ -181,3 +181,14 @@ def singular(name: Column) -> Column:
 
 def truncated(text: Column, n: int = 1500) -> Column:
     return F.substring(F.coalesce(text, F.lit("")), 1, n)
+
+
+def fitted(text: Column, width: int, missing: str = "") -> Column:
+    """Text of exactly width characters for a table of plain text: cut off or filled up with blanks."""
+    return F.rpad(F.substring(F.coalesce(text, F.lit(missing)), 1, width), width, " ")
+
+
+def percent(part: Column, whole: Column, digits: int = 1) -> Column:
+    """A share as text, as 12.5%; 0 of nothing is 0."""
+    share = F.coalesce(100.0 * part / F.nullif(whole, F.lit(0)), F.lit(0.0))
+    return F.concat(F.format_number(F.round(share, digits), digits), F.lit("%"))

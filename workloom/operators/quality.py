@@ -37,8 +37,13 @@ def assert_foreign_key(df: DataFrame, key: str, parent: DataFrame, parent_key: s
     return df
 
 
+def outside(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
+    """Rows whose non-null value is none of values."""
+    return df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values))
+
+
 def assert_domain(df: DataFrame, column: str, values: tuple[str, ...]) -> DataFrame:
-    if not df.where(F.col(column).isNotNull() & ~F.col(column).isin(*values)).isEmpty():
+    if not outside(df, column, values).isEmpty():
         raise GateError(f"{column} has values outside of {values}")
     return df
 

@@ -224,6 +224,21 @@ def sample_report(spark, sf):
     return joined.select("job_id", "company", F.col("raw_title").alias("title"), "noc", "noc_name", "seniority", F.col("noc_match_method").alias("method"), F.coalesce("skills", F.lit(0)).alias("skills"), text.alias("top_skills"))
 
 
+@query("""WITH n AS (SELECT job_id, count(*) AS n FROM fact_job_skill_demand GROUP BY 1)
+SELECT p.job_id, rpad(substr(coalesce(c.name, ''), 1, 24), 24, ' ') || ' ' || rpad(substr(p.raw_title, 1, 29), 29, ' ') || ' ' || rpad(substr(coalesce(t.level, '?'), 1, 11), 11, ' ') || ' ' || lpad(coalesce(n.n, 0)::VARCHAR, 3, ' ') AS line,
+  printf('%.1f%%', round(100.0 * coalesce(n.n, 0) / (SELECT count(*) FROM dim_skills), 1)) AS share
+FROM fact_job_postings p LEFT JOIN dim_companies c ON c.id = p.company_id LEFT JOIN dim_seniority t ON t.id = p.seniority_id LEFT JOIN n USING (job_id)""")
+def report_lines(spark, sf):
+    """a line of fixed width for each posting, and the share of all skills that it asks for as text."""
+    side = lambda name, key, column, alias: small_side(table(spark, sf, name).select(F.col("id").alias(key), F.col(column).alias(alias)))
+    counted = table(spark, sf, "fact_job_skill_demand").groupBy("job_id").agg(_n().alias("n"))
+    every = table(spark, sf, "dim_skills").agg(_n().alias("n_skills"))
+    rows = table(spark, sf, "fact_job_postings").join(side("dim_companies", "company_id", "name", "company"), "company_id", "left").join(side("dim_seniority", "seniority_id", "level", "seniority"), "seniority_id", "left").join(counted, "job_id", "left").crossJoin(F.broadcast(every))
+    n = F.coalesce("n", F.lit(0))
+    line = F.concat_ws(" ", S.fitted(F.col("company"), 24), S.fitted(F.col("raw_title"), 29), S.fitted(F.col("seniority"), 11, "?"), F.lpad(n.cast("string"), 3, " "))
+    return rows.select("job_id", line.alias("line"), S.percent(n, F.col("n_skills")).alias("share"))
+
+
 @query("""SELECT count(*) AS total, count(noc_id) AS with_occupation, count(seniority_id) AS with_seniority, count(DISTINCT noc_id) AS occupations,
   round(100.0 * count(noc_id) / count(*), 2) AS occupation_pct, (SELECT round(avg(n), 2) FROM (SELECT count(*) AS n FROM fact_job_skill_demand GROUP BY job_id)) AS avg_skills FROM fact_job_postings""")
 def report_counts(spark, sf):

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from workloom.functions import scalars as S
 from workloom.operators import enrich, matching, packing, postings, quality, skills, warehouse
@@ -55,6 +56,14 @@ def noc_lookup(spark, sf):
     return postings.lookup_occupation(table(spark, sf, "job_bank_csv"), table(spark, sf, "noc_titles")).select("row_id", "noc_id")
 
 
+@query(f"SELECT p_partkey, n.noc_id FROM (SELECT p_partkey, p_size AS code FROM part) p LEFT JOIN (SELECT TRY_CAST(c AS INT) AS code, max(p_partkey) AS noc_id FROM (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN lpad(p_size::VARCHAR, 5, '0') ELSE p_size::VARCHAR END AS c FROM part) WHERE length(c) = 5 GROUP BY 1) n ON n.code = p.code")
+def noc_lookup_five_digits(spark, sf):
+    """Of a list with codes of several lengths, those with five digits only."""
+    part = table(spark, sf, "part")
+    codes = part.select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 2 == 0, F.lpad(F.col("p_size").cast("string"), 5, "0")).otherwise(F.col("p_size").cast("string")).alias("noc21_code"))
+    return postings.lookup_occupation(part.select("p_partkey", F.col("p_size").cast("string").alias("noc21_code")), codes, five_digit_only=True).select("p_partkey", "noc_id")
+
+
 @query(f"""
 WITH j AS (SELECT *, {_CODE_SQL} AS code, {_LOW_SQL} AS low, {_HIGH_SQL} AS high FROM job_bank_csv)
 SELECT n.noc_id, job_title AS normalized_title, vacancy_count, province_territory AS province, city, strptime(first_posting_date, '%Y/%m/%d')::DATE AS first_posting_date,
@@ -209,6 +218,12 @@ def duplicate_keys(spark, sf):
     return quality.duplicated_keys(table(spark, sf, "fact_job_skill_demand").where("skill_id is not null"), "skill_id").withColumnRenamed("skill_id", "key")
 
 
+@query("SELECT row_id, salary_per FROM job_bank_csv WHERE salary_per NOT IN ('Hour', 'Day', 'Week', 'Bi-weekly', 'Month', 'Year')")
+def domain_violations(spark, sf):
+    """Values outside of a domain."""
+    return quality.outside(table(spark, sf, "job_bank_csv").select("row_id", "salary_per"), "salary_per", tuple(S.UNIT_HOURS))
+
+
 @query("SELECT skill_id, job_id FROM fact_job_skill_demand WHERE skill_id IS NOT NULL AND skill_id NOT IN (SELECT id FROM dim_skills)")
 def foreign_key_orphans(spark, sf):
     """Rows whose key the parent lacks."""
@@ -343,6 +358,19 @@ def session_plan(spark, sf):
     return packing.sessions(packing.batches(packing.pack_matched(_to_pack(spark, sf, True))), 50).select("batch_id", "session_no")
 
 
+@query(r"""WITH rows AS (SELECT p.job_id, p.job_id // 10 AS batch, p.raw_title, p.description, d.level, c.name AS company FROM fact_job_postings p LEFT JOIN dim_seniority d ON d.id = p.seniority_id LEFT JOIN dim_companies c ON c.id = p.company_id),
+blocks AS (SELECT batch, string_agg('Job ' || job_id || chr(10) || 'Title: ' || raw_title || chr(10) || coalesce('Seniority is known: ' || level, 'Give the seniority.') || chr(10) || 'Text: ' || substr(coalesce(description, ''), 1, 1500), chr(10) || chr(10) ORDER BY job_id) AS body, arg_min(coalesce(company, 'unknown'), job_id) AS company FROM rows GROUP BY batch),
+choice AS (SELECT string_agg('- ' || level, chr(10) ORDER BY level) AS names FROM dim_seniority)
+SELECT batch::VARCHAR AS batch_id, md5('Extract the skills of these postings of ' || company || '. Answer in JSON.' || chr(10) || chr(10) || 'Occupations:' || chr(10) || chr(10) || names || chr(10) || chr(10) || body) AS prompt_md5 FROM blocks CROSS JOIN choice""")
+def prompt_texts(spark, sf):
+    """The prompts of batches of ten, with a list to choose from."""
+    tiers = table(spark, sf, "dim_seniority").select(F.col("id").alias("seniority_id"), F.col("level").alias("seniority"))
+    companies = table(spark, sf, "dim_companies").select(F.col("id").alias("company_id"), F.col("name").alias("company"))
+    rows = table(spark, sf, "fact_job_postings").join(small_side(tiers), "seniority_id", "left").join(small_side(companies), "company_id", "left")
+    rows = rows.select(F.floor(F.col("job_id") / 10).cast("string").alias("batch_id"), "job_id", F.col("raw_title").alias("title"), "description", "seniority", "company")
+    return enrich.prompts(rows, tiers.select(F.col("seniority").alias("name"))).select("batch_id", F.md5("prompt").alias("prompt_md5"))
+
+
 @query("SELECT event_id, TRY_CAST(props->>'$.k' AS BIGINT) AS k FROM events")
 def json_parse(spark, sf):
     """Fields of JSON text, null for broken text."""
@@ -470,6 +498,18 @@ def reclassify_checkpoints(spark, sf):
     return matched.select("job_id", F.lit("matched").alias("kind")).unionByName(unmatched.select("job_id", F.lit("unmatched").alias("kind")))
 
 
+@query("SELECT job_id, noc_id FROM fact_job_postings")
+def checkpoint_files(spark, sf):
+    """JSON checkpoints in files, a corrupt one among them, read back; of a posting's rows the first in the order of the files counts."""
+    path = f"{shared_dir(spark)}/checkpoints-{uuid.uuid4().hex}"
+    rows = table(spark, sf, "fact_job_postings").select("job_id", "noc_id")
+    rows.write.json(f"{path}/a")
+    rows.where("noc_id is null").select("job_id", F.lit(-1).alias("noc_id")).write.json(f"{path}/b")
+    spark.range(1).select(F.lit('{"job_id": 1, "noc_id":').alias("value")).write.text(f"{path}/c")
+    read, _ = files.read_checkpoints(spark, f"{path}/*", T.StructType([T.StructField("job_id", T.LongType()), T.StructField("noc_id", T.IntegerType())]))
+    return warehouse.first_wins(read, "job_id", "file").select("job_id", "noc_id")
+
+
 @query("SELECT DISTINCT job_id FROM fact_job_postings WHERE job_id NOT IN (SELECT job_id FROM fact_job_skill_demand)")
 def resume_antijoin(spark, sf):
     """Ids that aren't done."""
