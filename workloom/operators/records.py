@@ -115,27 +115,44 @@ def typed(conforming: DataFrame) -> DataFrame:
     )
 
 
-def load_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(loaded, rejected) of raw records: line_id, file_name, year_month, line_no, raw_line.
-
-    loaded: the typed rows that a strict load takes. rejected: line_id, file_name, line_no, raw_line, reason
-    of the records whose offsets the load didn't take. Header lines are in neither. An offset is line_id,
-    file_name and line_no together; repeated rows of one offset are alike in both results.
-    """
-    given = raw.select("line_id", "file_name", "year_month", "line_no", "raw_line")
-    headers = cut(headers_of(given))  # one row a file
-    taken = judged(given, headers).where("reason is null")
-    # only offsets are subtracted; the few lines that are left are fetched afterwards
-    left = _matched(given.where("line_no is null or line_no <> 1").select(*_OFFSET), taken.select(*_OFFSET), "left_anti")
-    remainder = _matched(given, small_side(cut(left.distinct())), "left_semi")
-    rejected = judged(remainder, headers).select("line_id", "file_name", "line_no", "raw_line", "reason")
-    return typed(taken), rejected
+_OFFSET = ("line_id", "file_name", "line_no")
 
 
-_OFFSET = ("line_id", "file_name", "line_no")
+def _given(raw: DataFrame) -> DataFrame:
+    return raw.select("line_id", "file_name", "year_month", "line_no", "raw_line")
 
 
 def _matched(rows: DataFrame, offsets: DataFrame, how: str) -> DataFrame:
     """The semi or anti join of rows with offsets; null offsets are equal."""
     r, t = rows.alias("r"), offsets.alias("t")
     return r.join(t, reduce(lambda x, y: x & y, (F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in _OFFSET)), how)
+
+
+def strict_load(raw: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """The typed rows of the records that conform, of raw records as in load_records."""
+    given = _given(raw)
+    return typed(judged(given, headers or cut(headers_of(given))).where("reason is null"))
+
+
+def rejects(raw: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+    """line_id, file_name, line_no, raw_line, reason of the records whose offsets the strict load doesn't take, as in load_records.
+
+    Only offsets are subtracted; the lines that are left are fetched afterwards and diagnosed.
+    """
+    given = _given(raw)
+    headers = headers or cut(headers_of(given))  # one row a file
+    taken = judged(given, headers).where("reason is null")
+    left = _matched(given.where("line_no is null or line_no <> 1").select(*_OFFSET), taken.select(*_OFFSET), "left_anti")
+    remainder = _matched(given, small_side(cut(left.distinct())), "left_semi")
+    return judged(remainder, headers).select("line_id", "file_name", "line_no", "raw_line", "reason")
+
+
+def load_records(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(loaded, rejected) of raw records: line_id, file_name, year_month, line_no, raw_line.
+
+    loaded: the typed rows that a strict load takes. rejected: line_id, file_name, line_no, raw_line, reason
+    of the records whose offsets the load didn't take. Header lines are in neither. An offset is line_id,
+    file_name and line_no together; repeated rows of one offset are alike in both results.
+    """
+    headers = cut(headers_of(_given(raw)))
+    return strict_load(raw, headers), rejects(raw, headers)

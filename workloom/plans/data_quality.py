@@ -11,12 +11,12 @@ from workloom.runtime import table
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of job_bank_raw that are no valid rows, with the reason."""
-    return records.load_records(table(spark, sf_dir, "job_bank_raw"))[1].select("line_id", "reason").distinct()
+    return records.rejects(table(spark, sf_dir, "job_bank_raw")).select("line_id", "reason").distinct()
 
 
 def p2_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conforming records as typed rows."""
-    return records.load_records(table(spark, sf_dir, "job_bank_raw"))[0]
+    return records.strict_load(table(spark, sf_dir, "job_bank_raw"))
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
