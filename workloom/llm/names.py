@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,6 +47,8 @@ _BASE = "aaaaaaceeeeiiiinoooooouuuuyy"
 FREQUENT_SHARE, FREQUENT_LEAST = 0.0025, 4
 #: Names that share a token and a frame, up to which they are all compared.
 BLOCK_NAMES = 1_000
+#: Pairs of names that a task aligns, as long as all cores have some.
+TASK_PAIRS = 50_000
 #: Tokens up to this length are indexed by deletions, longer ones by parts.
 LONG_TOKEN = 24
 #: Tokens from this length on may differ by two edits, shorter ones from four letters on by one.
@@ -71,6 +74,8 @@ def edits(a: str, b: str, most: int) -> int:
         return beyond
     if a == b:
         return 0
+    if len(set(a) ^ set(b)) > 2 * most:  # an edit changes two of the letters that occur at most
+        return beyond
     before, band = [beyond] * (most + beyond), [max(c - most, 0) if c >= most else beyond for c in range(most + beyond)]
     for i, x in enumerate(a):
         new: list[int] = []
@@ -102,8 +107,11 @@ def is_abbreviation(short: str, full: str) -> bool:
     return all(ch in rest for ch in short)
 
 
+@lru_cache(500_000)
 def token_cost(a: str, b: str) -> float | None:
     """How much two tokens of aligned names differ, from 0 to 1; None if they can't stand for one another."""
+    if a == b:
+        return 0.0
     x, y = a.rstrip("."), b.rstrip(".")
     if x == y:
         return 0.0
@@ -161,6 +169,10 @@ def same_name(a: list[str], b: list[str]) -> bool:
     """Whether all tokens of both names can be aligned."""
     if len(a) != len(b) or not a:
         return False
+    there = set(b)
+    for x in a:  # most names are told apart by one token
+        if x not in there and all(token_cost(x, y) is None for y in b):
+            return False
     cost = [[token_cost(x, y) for y in b] for x in a]
     if any(all(c is None for c in row) for row in cost):
         return False
@@ -344,10 +356,11 @@ def link_names(names: DataFrame, ident: str = "id", name: str = "name", block_na
     keyed = part.where("not personal and frame is null").select("first", "token").distinct().join(frame, "first").select("first", "token", F.col("frame").alias("within"))
     framed = cut(keyed.unionByName(frame.where("n_rare = 0").select("first", F.lit("").alias("token"), F.col("frame").alias("within"))))
     ways = near.select("token", "other").unionByName(framed.select("token", F.col("token").alias("other"))).distinct()
-    met = _met(framed, ways, part.select("first", bare.alias("token"), "personal"), block_names)
+    met = cut(_met(framed, ways, part.select("first", bare.alias("token"), "personal"), block_names))
     held = distinct.select("first", "tokens")
     pairs = met.join(held.withColumnsRenamed({"first": "a", "tokens": "x"}), "a").join(held.withColumnsRenamed({"first": "b", "tokens": "y"}), "b").select("a", "b", "x", "y")
-    edges = pairs.mapInArrow(_aligned, "a long, b long")
+    # the alignment is Python's work: every core has pairs, and no task too many
+    edges = pairs.repartition(max(names.sparkSession.sparkContext.defaultParallelism, -(-met.count() // TASK_PAIRS))).mapInArrow(_aligned, "a long, b long")
     grouped = components(edges)
     entity = signed.join(distinct.select("signature", "first", "copies"), "signature").join(grouped.withColumnsRenamed({"node": "first"}), "first", "left")
     linked = cut(entity.where("copies > 1 or label is not null").select("id", F.coalesce("label", "first").alias("entity")))
